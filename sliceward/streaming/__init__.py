@@ -1,0 +1 @@
+"""Every lifecycle step is a batch run, so this package holds no streaming operators."""
