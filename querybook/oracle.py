@@ -301,7 +301,7 @@ GROUP BY partition_hv, subpartition_hv""",
 SELECT source_link, source_owner, source_table, partition_hv, subpartition_hv, count(o_orderkey) AS n
 FROM units u LEFT JOIN orders
   ON (u.low IS NULL OR o_orderdate >= u.low) AND (u.high IS NULL OR o_orderdate < u.high)
- AND year(o_orderdate) <> 1998 AND o_orderkey % 3 <> 0
+ AND (u.high <= DATE '1998-01-01' OR (year(o_orderdate) <> 1998 AND o_orderkey % 3 <> 0))
 WHERE u.source_table = 'ORDERS'
 GROUP BY ALL""",
     "append_state": f"""SELECT run_type, run_status, count(*) AS n FROM (

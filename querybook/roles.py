@@ -14,7 +14,7 @@ from sliceward import operators as op
 from sliceward.operators.catalog import UNIT_COLUMNS
 from sliceward.operators.reports import SUMMARY_BEGIN, SUMMARY_END
 from sliceward.schema import SOURCE, UNIT_KEY
-from sliceward.sources import SourceSpec, read_source, settle
+from sliceward.sources import SourceSpec, for_each_table, read_source, settle
 
 LINK = "CORE"
 OWNER = "SALES"
@@ -121,7 +121,7 @@ def catalog(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 
 
 def catalogs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {source: catalog(spark, sf_dir, source) for source in SOURCES}
+    return dict(zip(SOURCES, for_each_table(spark, lambda source: catalog(spark, sf_dir, source), SOURCES)))
 
 
 def union(parts) -> DataFrame:
@@ -164,12 +164,13 @@ def faulty(df: DataFrame, source: str) -> DataFrame:
 
 def counts(spark: SparkSession, sf_dir: str, cats: dict[str, DataFrame], broken: bool = False) -> DataFrame:
     """Row count per unit over all sources; of the faulty copy when ``broken``."""
-    parts = []
-    for source, units in cats.items():
+
+    def of_source(source: str) -> DataFrame:
         _, key, list_col = SOURCES[source]
         rows = source_rows(spark, sf_dir, source)
-        parts.append(op.unit_row_counts(faulty(rows, source) if broken else rows, units, key, list_col))
-    return union(parts)
+        return op.unit_row_counts(faulty(rows, source) if broken else rows, cats[source], key, list_col)
+
+    return union(for_each_table(spark, of_source, cats))
 
 
 def archive_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

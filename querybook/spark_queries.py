@@ -14,9 +14,8 @@ from sliceward import operators as op
 from sliceward.functions import list_text
 from sliceward.plans import ArchiveLifecycle, Binding, ReplicaLifecycle
 from sliceward.schema import ARCHIVE, HIGH_VALUES, REPLICA, SOURCE, TARGET, UNIT_KEY
-from sliceward.sources import SourceSpec, settle
+from sliceward.sources import SourceSpec, for_each_table, scratch_database, scratch_name, settle
 from sliceward.sources import append_state as _append
-from sliceward.sources.stored import scratch_database, scratch_name
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -142,14 +141,13 @@ def clustered_write(spark, sf_dir):
 
 @query
 def swap_units(spark, sf_dir):
-    """All orders are loaded, then every unit is replaced from a source that lost 1998 and every third order.
-
-    The units of 1998 must end up empty.
-    """
+    """All orders are loaded, then the units above 1997 are replaced from a source that lost 1998 and every
+    third order. The units of 1998 must end up empty, those up to 1997 untouched."""
     name, units, _ = _loaded(spark, sf_dir, "ORDERS")
+    later = settle(units.filter("high IS NULL OR high > DATE'1998-01-01'"), "later")
     rows = roles.source_rows(spark, sf_dir, "ORDERS").filter("year(o_orderdate) <> 1998 AND o_orderkey % 3 <> 0")
-    assigned = op.assign_units(rows, units, "o_orderdate")
-    return op.swap_units(assigned, name, units)
+    op.swap_units(op.assign_units(rows, later, "o_orderdate"), name, later)
+    return op.stored_row_counts(spark.table(name), units)
 
 
 @query
@@ -206,15 +204,17 @@ def reconcile_recorded(spark, sf_dir):
 @query
 def reconcile_recounted(spark, sf_dir):
     """The faulty copies are really loaded; both sides are counted again."""
-    parts = []
-    for source in ("ORDERS", "LINEITEM"):
+
+
+    def checked(source):
         _, key, list_col = SOURCES[source]
         rows = roles.source_rows(spark, sf_dir, source)
         name, units, _ = _loaded(spark, sf_dir, source, roles.faulty(rows, source))
         source_counts = op.unit_row_counts(rows, units, key, list_col)
         target_counts = op.stored_row_counts(spark.table(name), units)
-        parts.append(op.reconcile_recounted(units, source_counts, target_counts))
-    return roles.union(parts).select(*UNIT_KEY, "source_rows", "target_rows", "quality_status", "error_message")
+        return op.reconcile_recounted(units, source_counts, target_counts)
+
+    return roles.union(for_each_table(spark, checked, ("ORDERS", "LINEITEM"))).select(*UNIT_KEY, "source_rows", "target_rows", "quality_status", "error_message")
 
 
 def _cleanable(spark, sf_dir, ledger):
@@ -412,11 +412,11 @@ def discover(spark, sf_dir):
 def archive(spark, sf_dir):
     """All closed units of every source are loaded; what can be read back per unit."""
     candidates = settle(op.archivable(_fresh_ledger(spark, sf_dir), roles.config(spark)), "archivable")
-    parts = []
-    for source in SOURCES:
-        units = candidates.filter(F.col("source_table") == source)
-        parts.append(_loaded(spark, sf_dir, source, units=units)[2])
-    return roles.union(parts)
+
+    def load(source):
+        return _loaded(spark, sf_dir, source, units=candidates.filter(F.col("source_table") == source))[2]
+
+    return roles.union(for_each_table(spark, load, SOURCES))
 
 
 @query
@@ -433,18 +433,18 @@ def replicate(spark, sf_dir):
 @query
 def cleanup_units(spark, sf_dir):
     """Three loads of the orders; early units are truncated, deleted or dropped. Rows and partitions left."""
-    parts = []
-    for mode in ("TRUNCATE", "DELETE", "DROP"):
-        name, units, _ = _loaded(spark, sf_dir, "ORDERS")
+    catalog = roles.catalog(spark, sf_dir, "ORDERS")
+
+    def cleaned(mode):
+        name, units, _ = _loaded(spark, sf_dir, "ORDERS", units=catalog)
         op.cleanup_units(name, units.filter("high <= DATE'1998-01-01'"), mode, execute=True)
         kept = spark.sql(f"SHOW PARTITIONS {name}").agg(F.count(F.lit(1)).alias("partitions_kept"))
         counts = op.stored_row_counts(spark.table(name), units)
-        parts.append(
-            counts.select(F.lit(mode).alias("cleanup_mode"), "partition_hv", "n").join(
-                kept.withColumn("cleanup_mode", F.lit(mode)), "cleanup_mode"
-            )
+        return counts.select(F.lit(mode).alias("cleanup_mode"), "partition_hv", "n").join(
+            kept.withColumn("cleanup_mode", F.lit(mode)), "cleanup_mode"
         )
-    return roles.union(parts)
+
+    return roles.union(for_each_table(spark, cleaned, ("TRUNCATE", "DELETE", "DROP")))
 
 
 @query
@@ -519,14 +519,16 @@ def _at():
 def _archive_run(spark, sf_dir, **run):
     """A whole archive run over all sources, each laid out by unit so that its cleanup can be executed."""
     cats = roles.catalogs(spark, sf_dir)
-    bindings = {}
-    for source, (_, key, list_col) in SOURCES.items():
+
+    def bind(source):
+        _, key, list_col = SOURCES[source]
         store, _, _ = _loaded(spark, sf_dir, source, units=cats[source])
         target = scratch_name(spark, f"{source.lower()}_arch")
         op.create_unit_table(spark.table(store), target)
-        bindings[(ARCHIVE_OWNER, f"{source}_ARCH")] = Binding(
-            SourceSpec("table", store), target, key, list_col, source_store=store
-        )
+        return Binding(SourceSpec("table", store), target, key, list_col, source_store=store)
+
+    bound = for_each_table(spark, bind, SOURCES)
+    bindings = {(ARCHIVE_OWNER, f"{source}_ARCH"): binding for source, binding in zip(SOURCES, bound)}
     database = scratch_name(spark, "control").replace(".", "_")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{_folder(spark)}/{database}'")
     rules = op.rule_rows(spark, roles.rules(spark, sf_dir))

@@ -2,8 +2,10 @@ from sliceward.functions.expressions import (
     business_date,
     flag,
     high_value_date,
+    interval_seconds,
     list_text,
     list_values,
+    log_stamp,
     partition_hv,
     stamp,
     strip_text,
@@ -16,8 +18,10 @@ __all__ = [
     "business_date",
     "flag",
     "high_value_date",
+    "interval_seconds",
     "list_text",
     "list_values",
+    "log_stamp",
     "partition_hv",
     "stamp",
     "strip_text",

@@ -23,7 +23,22 @@ def flag(condition: Column) -> Column:
 
 
 def stamp(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    """``2024-01-31 12:00:00``. Cut from the text of the time, so no session time zone comes in."""
+    return F.substring(c.cast("string"), 1, 19)
+
+
+def log_stamp(c: Column) -> Column:
+    """``31-01-2024 12:00:00``, the form used inside log texts."""
+    text = c.cast("string")
+    day = F.concat_ws("-", F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4))
+    return F.concat(day, F.substring(text, 11, 9))
+
+
+def interval_seconds(c: Column) -> Column:
+    """Whole seconds of a day-time interval."""
+    parts = {"DAY": 86400, "HOUR": 3600, "MINUTE": 60, "SECOND": 1}
+    seconds = [F.extract(F.lit(field), c).cast("long") * size for field, size in parts.items()]
+    return seconds[0] + seconds[1] + seconds[2] + seconds[3]
 
 
 def strip_text(c: Column) -> Column:

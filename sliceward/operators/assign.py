@@ -2,7 +2,7 @@
 
 Bounds are whole days, so "low <= key < high and value in list" is an equi-join: every unit is written out
 as its (day, list value) pairs and rows are matched on those. The pairs are few (calendar days times list
-values), whatever the number of rows. They are counted before they are broadcast.
+values), whatever the number of rows. Their size is worked out from the units before they are broadcast.
 """
 
 from __future__ import annotations
@@ -15,22 +15,26 @@ from pyspark.sql import functions as F
 
 from sliceward.schema import HIGH_VALUES
 
-# Above this many (day, value) pairs the pairs are shuffled to the rows instead of broadcast.
-BROADCAST_PAIRS = 1_000_000
+# Above this size the (day, value) pairs are shuffled to the rows instead of broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_PAIR_OVERHEAD = 64
 
 _DAY, _VALUE = "__unit_day", "__unit_value"
 _EPOCH = date(1970, 1, 1)
 
 
 def unit_extent(units: DataFrame) -> Row:
-    """First and last declared bound, number of pairs and open ends of the units, as one row of scalars."""
+    """First and last declared bound, size of the pairs and open ends of the units, as one row of scalars."""
     low, high = F.unix_date("low"), F.unix_date("high")
     values = F.coalesce(F.size("list_values"), F.lit(1))
+    days = F.greatest(F.coalesce(high - low, F.lit(2)), F.lit(0)).cast("long")
+    # A value is never longer than the text of its list.
+    width = F.length("partition_hv") + F.length("subpartition_hv") * 2 + F.lit(_PAIR_OVERHEAD)
     return (
         units.agg(
             F.min(F.coalesce(F.least(low, high), low, high)).alias("first"),
             F.max(F.coalesce(F.greatest(low, high), low, high)).alias("last"),
-            F.sum(F.greatest(F.coalesce(high - low, F.lit(2)), F.lit(0)).cast("long") * values).alias("pairs"),
+            F.sum(days * values * width).alias("pair_bytes"),
             F.count(F.when(F.col("low").isNull(), 1)).alias("open_low"),
             F.count(F.when(F.col("high").isNull(), 1)).alias("open_high"),
             F.count(F.when(F.col("list_values").isNull(), 1)).alias("whole"),
@@ -84,7 +88,7 @@ def assign_units(
     units: DataFrame,
     key: str,
     list_col: str | None = None,
-    broadcast_pairs: int = BROADCAST_PAIRS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     extent: Row | None = None,
     outside: bool = False,
 ) -> DataFrame:
@@ -103,7 +107,7 @@ def assign_units(
     last = extent["last"] if extent["last"] is not None else 0
 
     pairs = _unit_pairs(units, first, last, by_list)
-    if (extent["pairs"] or 0) <= broadcast_pairs:
+    if (extent["pair_bytes"] or 0) <= broadcast_bytes:
         pairs = F.broadcast(pairs)
 
     day = F.greatest(F.least(F.unix_date(F.to_date(key)), F.lit(last)), F.lit(first - 1))

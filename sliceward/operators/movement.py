@@ -18,7 +18,7 @@ from sliceward.operators.assign import assign_units
 from sliceward.operators.counts import stored_row_counts
 from sliceward.operators.state import unit_events
 from sliceward.schema import HIGH_VALUES, NO_SUBPARTITION, PARTITION, TARGET, Layer
-from sliceward.sources.readers import check_columns
+from sliceward.sources import check_columns, create_table, require_partition_overwrite
 
 # The cleanup modes of a unit.
 CLEANUP_MODES = ("TRUNCATE", "DROP", "DELETE")
@@ -27,10 +27,7 @@ _DDL_BATCH = 500
 
 def create_unit_table(like: DataFrame, table: str) -> None:
     """An empty managed table with the columns of ``like``, laid out by unit."""
-    columns = [c for c in like.columns if c not in HIGH_VALUES]
-    keys = [F.lit(None).cast("string").alias(c) for c in HIGH_VALUES]
-    empty = like.select(*columns, *keys).limit(0)
-    empty.write.format("parquet").partitionBy(*HIGH_VALUES).saveAsTable(table)
+    create_table(like.sparkSession, table, like.schema, HIGH_VALUES)
 
 
 def clustered_write(rows: DataFrame, table: str, cluster_by: tuple[str, ...] = ()) -> None:
@@ -41,14 +38,12 @@ def clustered_write(rows: DataFrame, table: str, cluster_by: tuple[str, ...] = (
     many tiny ones need a file count chosen beforehand.
     """
     spark = rows.sparkSession
-    columns = spark.table(table).columns
+    require_partition_overwrite(spark, table)
     (
-        rows.select(*columns)
+        rows.select(*spark.table(table).columns)
         .hint("rebalance", *HIGH_VALUES)
         .sortWithinPartitions(*HIGH_VALUES, *cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+        .write.insertInto(table, overwrite=True)
     )
 
 

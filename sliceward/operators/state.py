@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sliceward.functions import text_or_null
+from sliceward.functions import interval_seconds, log_stamp, stamp, text_or_null
 from sliceward.schema import BOUNDS, NAMES, SOURCE, TARGET, UNIT_KEY, Layer
 
 ORDER = ("event_ts", "seq")
 
-# Day format, status of an entry that never had one, and text lengths of the process log.
-LOG_DAY_FORMAT = "dd-MM-yyyy HH:mm:ss"
+# Status of an entry that never had one, and text lengths of the process log.
 UNDEFINED = "UNDEFINED"
 ERROR_TEXT_LENGTH = 255
 RUN_ERROR_LENGTH = 4000
@@ -112,7 +111,7 @@ def consolidate_log(log_events: DataFrame, debug: bool = False) -> DataFrame:
 
     Scalars keep their last known value. Messages are appended in event order to one text and one JSON array.
     The text of a log is a single value by definition, but it is put together in two steps: entries are first
-    joined per hour of the log, then the hours are joined. A log with most of the entries is thus sorted and
+    joined per minute of the log, then the minutes are joined. A log with most of the entries is thus sorted and
     joined by many tasks, and only finished pieces meet in the last one.
     """
     shown = F.coalesce(F.col("log_level"), F.lit("N")) == "N"
@@ -127,7 +126,7 @@ def consolidate_log(log_events: DataFrame, debug: bool = False) -> DataFrame:
         }
     )
     key = ["mstr_log_id", "log_id"]
-    day = F.date_format("event_ts", LOG_DAY_FORMAT)
+    day = log_stamp(F.col("event_ts"))
     message = F.coalesce("log_msg", F.lit(""))
     text = F.when(F.col("log_type") == "SUMMARY", F.concat(message, F.lit("\n"))).otherwise(
         F.concat(F.lit("\n"), day, F.lit(" | "), message, F.lit("\n"))
@@ -135,7 +134,7 @@ def consolidate_log(log_events: DataFrame, debug: bool = False) -> DataFrame:
     entry = F.struct(F.col("log_type").alias("type"), day.alias("timestamp"), message.alias("message"))
     scalars = ["log_categ", "mstr_fun", "log_status", "start_date", "end_date", "last_err_code", "last_err_desc"]
 
-    per_hour = logged.groupBy(*key, F.date_trunc("hour", "event_ts").alias("hour")).agg(
+    per_minute = logged.groupBy(*key, F.substring(stamp(F.col("event_ts")), 1, 16).alias("minute")).agg(
         F.array_sort(
             F.collect_list(F.struct(*order, text.alias("text"), F.to_json(entry).alias("json")))
         ).alias("entries"),
@@ -145,14 +144,14 @@ def consolidate_log(log_events: DataFrame, debug: bool = False) -> DataFrame:
         ],
         F.min("event_ts").alias("first_ts"),
     )
-    pieces = per_hour.withColumns(
+    pieces = per_minute.withColumns(
         {
             "text": F.array_join(F.transform("entries", lambda e: e["text"]), ""),
             "json": F.array_join(F.transform("entries", lambda e: e["json"]), ","),
         }
     ).drop("entries")
     logs = pieces.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("hour", "text", "json"))).alias("pieces"),
+        F.array_sort(F.collect_list(F.struct("minute", "text", "json"))).alias("pieces"),
         *[F.max(c)["said"].alias(c) for c in scalars],
         F.min("first_ts").alias("first_ts"),
     )
@@ -174,12 +173,8 @@ def consolidate_log(log_events: DataFrame, debug: bool = False) -> DataFrame:
 
 def log_durations(log: DataFrame) -> DataFrame:
     """duration of each log entry as an interval and in whole seconds."""
-    return log.withColumns(
-        {
-            "interval_time": F.col("end_date") - F.col("start_date"),
-            "seconds": F.timestamp_diff("SECOND", F.col("start_date"), F.col("end_date")),
-        }
-    )
+    timed = log.withColumn("interval_time", F.col("end_date") - F.col("start_date"))
+    return timed.withColumn("seconds", interval_seconds(F.col("interval_time")))
 
 
 def expired_log_partitions(

@@ -2,7 +2,7 @@
 
 A step builds its candidates as a DataFrame, works on all units of a table in one Spark job, and appends what
 happened to the state tables. Without ``execute`` it only shows what it would do. The driver holds names and
-scalars, never rows of units: the only loop is over the configured tables.
+scalars, never rows of units: the only loop is over the configured tables, a few of them at a time.
 
 Data is replaced first and the ledger is appended after it. A run that breaks in between leaves the units
 marked 'N', and the next run replaces them again.
@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from sliceward.schema import (
     Layer,
     ledger_event_schema,
 )
-from sliceward.sources import SourceSpec, append_state, read_source, settle
+from sliceward.sources import SourceSpec, append_state, for_each_table, read_source, settle
 
 
 @dataclass(frozen=True)
@@ -85,11 +86,13 @@ class Lifecycle:
         config: DataFrame,
         bindings: Mapping[tuple[str, str], Binding],
         clock: Callable[[], datetime] = _utc_now,
+        tables_at_once: int = 4,
     ) -> None:
         self.spark = spark
         self.config = config
         self.bindings = dict(bindings)
         self.clock = clock
+        self.tables_at_once = tables_at_once
         self.unit_events_table = f"{database}.{self.layer.name}_unit_events"
         self.run_events_table = f"{database}.{self.layer.name}_run_events"
         self.log_events_table = f"{database}.{self.layer.name}_log_events"
@@ -123,7 +126,7 @@ class Lifecycle:
         append_state(events, self.unit_events_table)
 
     def _now(self) -> Column:
-        return F.lit(self.clock()).cast("timestamp_ntz")
+        return F.lit(self.clock().isoformat(sep=" ")).cast("timestamp_ntz")
 
     # Runs and their log.
 
@@ -238,6 +241,11 @@ class Lifecycle:
             found.append((binding, of_table))
         return found
 
+    def _each(self, units: DataFrame, work: Callable[[Binding, DataFrame], DataFrame]) -> DataFrame:
+        """The same work on every table of ``units``, several tables at a time; results in one DataFrame."""
+        done = for_each_table(self.spark, lambda table: work(*table), self._tables(units), self.tables_at_once)
+        return reduce(DataFrame.unionByName, [d.select(*units.columns) for d in done], units.filter(F.lit(False)))
+
     def _found_units(self) -> DataFrame:
         raise NotImplementedError
 
@@ -284,9 +292,7 @@ class Lifecycle:
             units = settle(op.scope(self._loadable(), target_owner, target_table), "loadable")
             state = units
             if execute:
-                state = units.filter(F.lit(False))
-                for binding, of_table in self._tables(units):
-                    state = state.unionByName(self._load_table(run, binding, of_table))
+                state = self._each(units, lambda binding, of_table: self._load_table(run, binding, of_table))
                 state = state.withColumns({self.layer.load_status: F.lit("Y"), "quality_status": F.lit("N")})
             return self._report(run, step, state, execute, log=execute)
 
@@ -300,16 +306,13 @@ class Lifecycle:
         self.append_units(
             op.mark_units(counted, self.layer, "Y", run.run_id, self._now(), rows=F.col("target_rows"), seq=1)
         )
-        return counted.select(*units.columns)
+        return counted
 
     def quality(self, execute: bool = False, target_owner: str | None = None, target_table: str | None = None):
         with self._run("QUALITY", execute) as run:
             pending = op.quality_pending(self.ledger(), self.config, self.layer)
             units = settle(op.scope(pending, target_owner, target_table), "unchecked")
-            checked = units.filter(F.lit(False))
-            for binding, of_table in self._tables(units):
-                checked = checked.unionByName(self._checked(binding, of_table).select(*units.columns))
-            checked = settle(checked, "checked")
+            checked = settle(self._each(units, self._checked), "checked")
             if execute:
                 said = ["quality_status", "source_rows", "target_rows", "error_message"]
                 self.append_units(
@@ -326,13 +329,16 @@ class Lifecycle:
             units = settle(self._cleanable(target_owner, target_table), "cleanable")
             free = units.filter("preserve_date IS NULL")
             if execute:
-                for binding, of_table in self._tables(free):
-                    op.cleanup_units(self._cleanup_table(binding), of_table, "TRUNCATE", execute=True)
-                    self.append_units(op.cleanup_events(of_table, self.layer, run.run_id, self._now()))
+                self._each(free, lambda binding, of_table: self._clean_table(run, binding, of_table))
                 done = F.when(F.col("preserve_date").isNull(), "Y").otherwise(F.col(self.layer.cleanup_status))
                 units = units.withColumn(self.layer.cleanup_status, done)
             return self._report(run, step, units, execute)
 
+    def _clean_table(self, run: Run, binding: Binding, units: DataFrame) -> DataFrame:
+        op.cleanup_units(self._cleanup_table(binding), units, "TRUNCATE", execute=True)
+        self.append_units(op.cleanup_events(units, self.layer, run.run_id, self._now()))
+        return units
+
     def run_all(
         self,
         execute: bool = False,

@@ -1,4 +1,23 @@
 from sliceward.sources.readers import SourceSpec, check_columns, read_source
-from sliceward.sources.stored import append_state, scratch_database, settle
+from sliceward.sources.stored import (
+    append_state,
+    create_table,
+    for_each_table,
+    require_partition_overwrite,
+    scratch_database,
+    scratch_name,
+    settle,
+)
 
-__all__ = ["SourceSpec", "append_state", "check_columns", "read_source", "scratch_database", "settle"]
+__all__ = [
+    "SourceSpec",
+    "append_state",
+    "check_columns",
+    "create_table",
+    "for_each_table",
+    "read_source",
+    "require_partition_overwrite",
+    "scratch_database",
+    "scratch_name",
+    "settle",
+]

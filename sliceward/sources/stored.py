@@ -4,10 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SCRATCH = "sliceward_scratch"
+BATCH = "batch"
+
+T = TypeVar("T")
+R = TypeVar("R")
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -44,17 +54,55 @@ def settle(df: DataFrame, stem: str = "settled") -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def append_state(events: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
+def append_state(events: DataFrame, table: str) -> None:
     """Append events to a state table, creating it on first use.
 
-    The rebalance hint lets adaptive execution write few files for few rows and many for many.
+    Every append fills a partition of its own by a partition overwrite. Its files are staged in a folder of
+    their own, so runs may append at the same time, and a repeated commit does not double rows. The rebalance
+    hint writes few files for few rows and many for many.
+    """
+    spark = events.sparkSession
+    columns = [c for c in events.columns if c != BATCH]
+    create_table(spark, table, events.select(*columns).schema, [BATCH], if_not_exists=True)
+    require_partition_overwrite(spark, table)
+    stored = [c for c in spark.table(table).columns if c != BATCH]
+    batch = F.lit(uuid.uuid4().hex).alias(BATCH)
+    (
+        events.select(*stored)
+        .hint("rebalance")
+        .select(*stored, batch)
+        .write.insertInto(table, overwrite=True)
+    )
+
+
+def require_partition_overwrite(spark: SparkSession, table: str) -> None:
+    """Refuse a table whose overwrite would replace all partitions instead of those written."""
+    if spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "DYNAMIC":
+        return
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    options = described.filter("col_name = 'Storage Properties'").select("data_type").first()
+    if options is None or "partitionoverwritemode=dynamic" not in options[0].lower():
+        raise ValueError(f"{table} lacks the option partitionOverwriteMode=dynamic; its other partitions would be lost")
+
+
+def create_table(
+    spark: SparkSession, table: str, schema: StructType, partition_by: list[str], if_not_exists: bool = False
+) -> None:
+    """An empty managed Parquet table; the partition columns are strings and come last.
+
+    The table itself says that an overwrite replaces only the partitions it writes. As a write option Spark
+    ignores this for inserts, and as a session setting it would change the user's other writes.
     """
-    rows = events.hint("rebalance", *partition_by) if partition_by else events.hint("rebalance")
-    if events.sparkSession.catalog.tableExists(table):
-        stored = events.sparkSession.table(table)
-        rows.select(*stored.columns).write.format("parquet").insertInto(table)
-    else:
-        writer = rows.write.format("parquet")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table)
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in partition_by]
+    columns += [f"`{c}` string" for c in partition_by]
+    exists = "IF NOT EXISTS " if if_not_exists else ""
+    spark.sql(
+        f"CREATE TABLE {exists}{table} ({', '.join(columns)}) USING parquet "
+        f"OPTIONS ('partitionOverwriteMode' 'dynamic') PARTITIONED BY ({', '.join(partition_by)})"
+    )
+
+
+def for_each_table(spark: SparkSession, work: Callable[[T], R], items: Iterable[T], at_once: int = 4) -> list[R]:
+    """Run the independent jobs of several tables side by side; Spark shares the executors between them."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
