@@ -29,6 +29,7 @@ from sliceward.operators.movement import (
     clustered_write,
     create_unit_table,
     discover_events,
+    drop_partitions,
     load_units,
     resolve_targets,
     rows_outside,

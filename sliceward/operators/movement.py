@@ -23,6 +23,7 @@ from sliceward.sources import check_columns, create_table, require_partition_ove
 # The cleanup modes of a unit.
 CLEANUP_MODES = ("TRUNCATE", "DROP", "DELETE")
 _DDL_BATCH = 500
+MAX_SHUFFLE_PARTITIONS = 10_000
 
 
 def create_unit_table(like: DataFrame, table: str) -> None:
@@ -30,44 +31,49 @@ def create_unit_table(like: DataFrame, table: str) -> None:
     create_table(like.sparkSession, table, like.schema, HIGH_VALUES)
 
 
-def clustered_write(rows: DataFrame, table: str, cluster_by: tuple[str, ...] = ()) -> None:
+def clustered_write(
+    rows: DataFrame, table: str, cluster_by: tuple[str, ...] = (), units: int = 0, together: bool = False
+) -> None:
     """Overwrite the units present in ``rows``, clustered so that file statistics prune on ``cluster_by``.
 
     The rebalance hint groups the rows of a unit. Adaptive execution then splits a unit that is larger than
     the advisory partition size over several tasks and files and joins small ones, so neither a hot unit nor
-    many tiny ones need a file count chosen beforehand.
+    many tiny ones need a file count chosen beforehand. With a shuffle partition per unit at least, few units
+    share one. Rows that come from files of one unit each are already ``together`` and are not shuffled.
     """
     spark = rows.sparkSession
     require_partition_overwrite(spark, table)
-    (
-        rows.select(*spark.table(table).columns)
-        .hint("rebalance", *HIGH_VALUES)
-        .sortWithinPartitions(*HIGH_VALUES, *cluster_by)
-        .write.insertInto(table, overwrite=True)
-    )
+    placed = rows.select(*spark.table(table).columns)
+    if not together:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(units, MAX_SHUFFLE_PARTITIONS))
+        placed = placed.hint("rebalance", partitions, *HIGH_VALUES)
+    placed.sortWithinPartitions(*HIGH_VALUES, *cluster_by).write.insertInto(table, overwrite=True)
 
 
-def swap_units(rows: DataFrame, table: str, units: DataFrame, cluster_by: tuple[str, ...] = ()) -> DataFrame:
+def swap_units(
+    rows: DataFrame, table: str, units: DataFrame, cluster_by: tuple[str, ...] = (), together: bool = False
+) -> DataFrame:
     """Make ``rows`` (with unit columns) the whole content of ``units`` in ``table``.
 
     A partition overwrite leaves a unit alone that has no row to write, so units that held rows and now have
     none are dropped. Returns the physical row counts afterwards.
     """
     spark = rows.sparkSession
-    held = stored_row_counts(spark.table(table), units).filter("n > 0").select(*HIGH_VALUES)
-    emptied = [tuple(r) for r in _without_rows(held, rows).toLocalIterator()]
-    clustered_write(rows, table, cluster_by)
+    before = stored_row_counts(spark.table(table), units)
+    size = before.agg(
+        F.count(F.lit(1)).alias("units"), F.count(F.when(F.col("n") > 0, 1)).alias("filled")
+    ).first()
+    emptied: list[tuple[str, str]] = []
+    if size["filled"]:
+        filled = before.filter("n > 0").select(*HIGH_VALUES)
+        gone = filled.join(rows.select(*HIGH_VALUES).distinct(), HIGH_VALUES, "left_anti")
+        emptied = [tuple(r) for r in gone.toLocalIterator()]
+    clustered_write(rows, table, cluster_by, size["units"], together)
     drop_partitions(spark, table, iter(emptied))
     spark.catalog.refreshTable(table)
     return stored_row_counts(spark.table(table), units)
 
 
-def _without_rows(held: DataFrame, rows: DataFrame) -> DataFrame:
-    if held.isEmpty():
-        return held
-    return held.join(rows.select(*HIGH_VALUES).distinct(), HIGH_VALUES, "left_anti")
-
-
 def load_units(
     source: DataFrame,
     units: DataFrame,
@@ -78,10 +84,13 @@ def load_units(
 ) -> DataFrame:
     """M2, M3: load all ``units`` of one table in one pass over the source.
 
-    Rows outside the units are left out. The result counts what can be read back per unit.
+    Rows outside the units are left out. A source that is itself laid out by unit is pruned to the units and
+    written without a shuffle. The result counts what can be read back per unit.
     """
     check_columns(source, source.sparkSession.table(table), HIGH_VALUES)
-    return swap_units(assign_units(source, units, key, list_col), table, units, cluster_by)
+    together = set(HIGH_VALUES) <= set(source.columns)
+    rows = assign_units(source, units, key, list_col)
+    return swap_units(rows, table, units, cluster_by, together)
 
 
 def resolve_targets(units: DataFrame, template: DataFrame) -> DataFrame:
@@ -127,19 +136,20 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _partition_spec(unit: tuple[str, str]) -> str:
-    return "PARTITION (" + ", ".join(f"{c} = {_literal(v)}" for c, v in zip(HIGH_VALUES, unit)) + ")"
+def _partition_spec(columns: list[str], values: tuple[str, ...]) -> str:
+    return "PARTITION (" + ", ".join(f"{c} = {_literal(v)}" for c, v in zip(columns, values)) + ")"
 
 
-def _batches(units: Iterator[tuple[str, str]]) -> Iterator[list[str]]:
-    specs = (_partition_spec(u) for u in units)
+def drop_partitions(
+    spark: SparkSession,
+    table: str,
+    partitions: Iterator[tuple[str, ...]],
+    keep: bool = False,
+    columns: list[str] = HIGH_VALUES,
+) -> None:
+    """Drop partitions in batches; with ``keep`` they stay in the catalog, empty."""
+    specs = (_partition_spec(columns, p) for p in partitions)
     while batch := list(islice(specs, _DDL_BATCH)):
-        yield batch
-
-
-def drop_partitions(spark: SparkSession, table: str, units: Iterator[tuple[str, str]], keep: bool = False) -> None:
-    """Drop units in batches of partitions; with ``keep`` they stay in the catalog, empty."""
-    for batch in _batches(units):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(batch)}")
         if keep:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(batch)}")

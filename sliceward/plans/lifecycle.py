@@ -37,6 +37,7 @@ from sliceward.schema import (
     ledger_event_schema,
 )
 from sliceward.sources import SourceSpec, append_state, for_each_table, read_source, settle
+from sliceward.sources.stored import BATCH
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,7 @@ class Run:
     run_id: int
     run_type: str
     execute: bool
+    started: datetime
     status: str = "SUCCESS"
     messages: list[str] = field(default_factory=list)
 
@@ -132,8 +134,8 @@ class Lifecycle:
 
     @contextmanager
     def _run(self, run_type: str, execute: bool, source: tuple = (None, None, None)) -> Iterator[Run]:
-        run = Run(_new_id(), run_type, execute)
         started = self.clock()
+        run = Run(_new_id(), run_type, execute, started)
         link = self._run_link(source[0])
         names = [n.upper() if n else None for n in (link, *source[1:])]
         self._append_run(
@@ -143,9 +145,9 @@ class Lifecycle:
         try:
             yield run
         except Exception as problem:
-            self._finish(run, started, "ERROR", str(problem))
+            self._finish(run, "ERROR", str(problem))
             raise
-        self._finish(run, started, run.status, None)
+        self._finish(run, run.status, None)
 
     def _run_link(self, link: str | None) -> str | None:
         return link
@@ -153,8 +155,8 @@ class Lifecycle:
     def _append_run(self, *values) -> None:
         append_state(self.spark.createDataFrame([values], RUN_EVENT_SCHEMA), self.run_events_table)
 
-    def _finish(self, run: Run, started: datetime, status: str, error: str | None) -> None:
-        ended = self.clock()
+    def _finish(self, run: Run, status: str, error: str | None) -> None:
+        started, ended = run.started, self.clock()
         short = error[:RUN_ERROR_LENGTH] if error else None
         self._append_run(
             run.run_id, None, status, None, None, None, None, None, ended, None, short, ended, 1
@@ -185,7 +187,12 @@ class Lifecycle:
                 "",
             )
         )
-        append_state(self.spark.createDataFrame(rows, LOG_EVENT_SCHEMA), self.log_events_table)
+        self._append_log(self.spark.createDataFrame(rows, LOG_EVENT_SCHEMA), run)
+
+    def _append_log(self, entries: DataFrame, run: Run) -> None:
+        """All entries of a run lie in the month it started, so months can be dropped whole."""
+        month = F.lit(f"{run.started:%Y-%m}").alias("log_month")
+        append_state(entries.select("*", month), self.log_events_table, ("log_month",))
 
     def _log_summary(self, run: Run, summary: DataFrame) -> None:
         """One log entry per summary row between the marks; the log is put together when it is read."""
@@ -214,7 +221,7 @@ class Lifecycle:
             (F.col("seq") + 1000).alias("seq"),
             "entry_key",
         )
-        append_state(entries, self.log_events_table)
+        self._append_log(entries, run)
 
     def _report(self, run: Run, step: str, units: DataFrame, execute: bool, log: bool = True) -> DataFrame:
         """Counters to the log, summary rows to the log and to the caller."""
@@ -226,6 +233,26 @@ class Lifecycle:
             self._log_summary(run, summary)
         return summary
 
+    def cleanup_log(self, as_of: datetime, retention_days: int = 90, execute: bool = False) -> DataFrame:
+        """months of the log past their retention; with ``execute`` they are dropped.
+
+        Only partition columns are read. The months come back as stored rows.
+        """
+        stored = self.log_events()
+        if "log_month" not in stored.columns:
+            stored = stored.withColumn("log_month", F.lit(None).cast("string"))
+        months = stored.select("log_month", F.concat("log_month", F.lit("-01")).cast("timestamp_ntz").alias("start_date"))
+        limit = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+        expired = settle(op.expired_log_partitions(months, limit, retention_days), "expired")
+        if execute and self.spark.catalog.tableExists(self.log_events_table):
+            month = F.date_format("log_month", "yyyy-MM").alias("log_month")
+            old = stored.select("log_month", BATCH).distinct().join(expired.select(month), "log_month", "left_semi")
+            layout = ["log_month", BATCH]
+            op.drop_partitions(
+                self.spark, self.log_events_table, (tuple(r) for r in old.toLocalIterator()), columns=layout
+            )
+        return expired
+
     # Steps.
 
     def _tables(self, units: DataFrame) -> list[tuple[Binding, DataFrame]]:

@@ -54,25 +54,20 @@ def settle(df: DataFrame, stem: str = "settled") -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def append_state(events: DataFrame, table: str) -> None:
+def append_state(events: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
     """Append events to a state table, creating it on first use.
 
-    Every append fills a partition of its own by a partition overwrite. Its files are staged in a folder of
+    Every append fills partitions of its own by a partition overwrite. Its files are staged in a folder of
     their own, so runs may append at the same time, and a repeated commit does not double rows. The rebalance
     hint writes few files for few rows and many for many.
     """
     spark = events.sparkSession
-    columns = [c for c in events.columns if c != BATCH]
-    create_table(spark, table, events.select(*columns).schema, [BATCH], if_not_exists=True)
+    layout = [*partition_by, BATCH]
+    create_table(spark, table, events.drop(BATCH).schema, layout, if_not_exists=True)
     require_partition_overwrite(spark, table)
     stored = [c for c in spark.table(table).columns if c != BATCH]
     batch = F.lit(uuid.uuid4().hex).alias(BATCH)
-    (
-        events.select(*stored)
-        .hint("rebalance")
-        .select(*stored, batch)
-        .write.insertInto(table, overwrite=True)
-    )
+    events.select(*stored).hint("rebalance").select(*stored, batch).write.insertInto(table, overwrite=True)
 
 
 def require_partition_overwrite(spark: SparkSession, table: str) -> None:
