@@ -77,10 +77,12 @@ def within_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Of a table that is itself laid out by unit, the partitions of ``units``, without the unit columns.
 
     The semi join is on partition columns; a small ``units`` prunes the partitions before they are scanned.
+    Spark plans this pruning only for a filtered side. The filter holds for every unit.
     """
     if not set(HIGH_VALUES) <= set(df.columns):
         return df
-    return df.join(units.select(*HIGH_VALUES), HIGH_VALUES, "left_semi").drop(*HIGH_VALUES)
+    wanted = units.select(*HIGH_VALUES).filter(F.col("partition_hv") > "")
+    return df.join(wanted, HIGH_VALUES, "left_semi").drop(*HIGH_VALUES)
 
 
 def assign_units(

@@ -193,3 +193,18 @@ def expired_log_partitions(
         .withColumn("partition_high", F.add_months("log_month", 1))
         .filter(F.col("partition_high").cast("timestamp_ntz") < limit)
     )
+
+
+def ledger_seed(units: DataFrame, layer: Layer, run_id: int, at: Column) -> DataFrame:
+    """Ledger events of units that count as finished from the start, without rows on either side."""
+    described = TARGET + ["unit_type"] + NAMES + BOUNDS
+    return unit_events(
+        units,
+        layer,
+        run_id,
+        at,
+        **{c: F.col(c) for c in described},
+        **{s: F.lit("Y") for s in layer.statuses},
+        source_rows=F.lit(0),
+        target_rows=F.lit(0),
+    )
