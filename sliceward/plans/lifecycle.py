@@ -64,6 +64,7 @@ class Run:
     started: datetime
     status: str = "SUCCESS"
     messages: list[str] = field(default_factory=list)
+    summary: DataFrame | None = None
 
 
 def _new_id() -> int:
@@ -187,14 +188,14 @@ class Lifecycle:
                 "",
             )
         )
-        self._append_log(self.spark.createDataFrame(rows, LOG_EVENT_SCHEMA), run)
-
-    def _append_log(self, entries: DataFrame, run: Run) -> None:
-        """All entries of a run lie in the month it started, so months can be dropped whole."""
-        month = F.lit(f"{run.started:%Y-%m}").alias("log_month")
+        entries = self.spark.createDataFrame(rows, LOG_EVENT_SCHEMA)
+        if run.summary is not None and not failed:
+            entries = entries.unionByName(self._summary_entries(run, run.summary))
+        # All entries of a run lie in the month it started, so months can be dropped whole.
+        month = F.lit(f"{started:%Y-%m}").alias("log_month")
         append_state(entries.select("*", month), self.log_events_table, ("log_month",))
 
-    def _log_summary(self, run: Run, summary: DataFrame) -> None:
+    def _summary_entries(self, run: Run, summary: DataFrame) -> DataFrame:
         """One log entry per summary row between the marks; the log is put together when it is read."""
         cells = [c for c in summary.columns if c not in SOURCE]
         row = F.concat_ws("|", *SOURCE, *cells)
@@ -207,13 +208,13 @@ class Lifecycle:
         frame = self.spark.createDataFrame(
             [(0, "", f"{SUMMARY_BEGIN}\n{head}"), (2, "", SUMMARY_END)], "seq int, entry_key string, log_msg string"
         )
-        entries = frame.unionByName(lines).select(
+        return frame.unionByName(lines).select(
             F.lit(run.run_id).alias("mstr_log_id"),
             F.lit(run.run_id).alias("log_id"),
             F.lit("N").alias("log_level"),
             F.lit("SUMMARY").alias("log_type"),
             *[F.lit(None).cast("string").alias(c) for c in ("log_categ", "mstr_fun")],
-            F.lit("RUNNING").alias("log_status"),
+            F.lit(None).cast("string").alias("log_status"),
             *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("start_date", "end_date")],
             "log_msg",
             *[F.lit(None).cast("string").alias(c) for c in ("last_err_code", "last_err_desc")],
@@ -221,7 +222,6 @@ class Lifecycle:
             (F.col("seq") + 1000).alias("seq"),
             "entry_key",
         )
-        self._append_log(entries, run)
 
     def _report(self, run: Run, step: str, units: DataFrame, execute: bool, log: bool = True) -> DataFrame:
         """Counters to the log, summary rows to the log and to the caller."""
@@ -230,7 +230,7 @@ class Lifecycle:
         run.status = totals["run_status"]
         summary = step_summary(units, step, self.layer, execute)
         if log and totals["units"]:
-            self._log_summary(run, summary)
+            run.summary = summary
         return summary
 
     def cleanup_log(self, as_of: datetime, retention_days: int = 90, execute: bool = False) -> DataFrame:
