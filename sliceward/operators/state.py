@@ -20,29 +20,29 @@ ERROR_TEXT_LENGTH = 255
 RUN_ERROR_LENGTH = 4000
 
 
-def _at(*order: str) -> Column:
-    return F.struct(*order)
-
-
-def last_known(column: str, *order: str) -> Column:
-    """Last value that is not NULL, in event order."""
-    known = F.when(F.col(column).isNotNull(), F.struct(*order))
+def last_known(column: str) -> Column:
+    """Last value of a column that is not NULL, in event order."""
+    known = F.when(F.col(column).isNotNull(), F.struct(*ORDER))
     return F.max_by(column, known).alias(column)
 
 
-def last_said(column: str, *order: str) -> Column:
-    """Value of the last event, NULL included."""
-    return F.max_by(column, _at(*order)).alias(column)
+def last_said(name: str, columns: list[str], known: Column | None = None) -> Column:
+    """Columns of the last event, NULLs included; with ``known``, of the last event it holds for."""
+    when = F.struct(*ORDER) if known is None else F.when(known, F.struct(*ORDER))
+    return F.max_by(F.struct(*columns), when).alias(name)
 
 
 def current_units(unit_events: DataFrame, layer: Layer) -> DataFrame:
-    """current ledger row per unit. Run and error are always those of the last event; statuses, counts and
-    the description of the unit keep their last known value."""
-    sticky = TARGET + ["unit_type"] + NAMES + BOUNDS + layer.statuses + ["source_rows", "target_rows"]
-    return unit_events.groupBy(*UNIT_KEY).agg(
-        *[last_known(c, *ORDER) for c in sticky],
-        *[last_said(c, *ORDER) for c in ("last_run_id", "error_message")],
+    """current ledger row per unit. Run and error are always those of the last event, the description is
+    that of the last discovery; statuses and counts keep their last known value."""
+    description = TARGET + ["unit_type"] + NAMES + BOUNDS
+    sticky = layer.statuses + ["source_rows", "target_rows"]
+    folded = unit_events.groupBy(*UNIT_KEY).agg(
+        last_said("description", description, F.col("unit_type").isNotNull()),
+        *[last_known(c) for c in sticky],
+        last_said("latest", ["last_run_id", "error_message"]),
     )
+    return folded.select(*UNIT_KEY, "description.*", *sticky, "latest.*")
 
 
 def mark_units(
@@ -93,11 +93,14 @@ def unit_events(units: DataFrame, layer: Layer, run_id: int, at: Column, seq: in
 
 def current_runs(run_events: DataFrame) -> DataFrame:
     """current row per run. A run starts RUNNING under upper-case names; finishing it sets the end."""
-    sticky = ["run_type", "run_status", *SOURCE, "mstr_log_id", "started_at", "ended_at", "execute_flag"]
+    start = ["run_type", *SOURCE, "mstr_log_id", "started_at", "execute_flag"]
+    finish = ["ended_at", "error_message"]
     folded = run_events.groupBy("run_id").agg(
-        *[last_known(c, *ORDER) for c in sticky], last_known("error_message", *ORDER)
+        last_said("start", start, F.col("run_type").isNotNull()),
+        last_known("run_status"),
+        last_said("finish", finish, F.col("ended_at").isNotNull()),
     )
-    return folded.withColumns(
+    return folded.select("run_id", "start.*", "run_status", "finish.*").withColumns(
         {
             "run_type": F.upper(F.trim("run_type")),
             **{c: F.upper(c) for c in SOURCE},
