@@ -39,6 +39,8 @@ def unit_extent(units: DataFrame) -> Row:
             F.count(F.when(F.col("high").isNull(), 1)).alias("open_high"),
             F.count(F.when(F.col("list_values").isNull(), 1)).alias("whole"),
             F.count("list_values").alias("listed"),
+            F.min("partition_hv").alias("first_hv"),
+            F.max("partition_hv").alias("last_hv"),
         )
     ).first()
 
@@ -73,16 +75,25 @@ def within_extent(df: DataFrame, key: str, extent: Row) -> DataFrame:
     return df
 
 
-def within_units(df: DataFrame, units: DataFrame) -> DataFrame:
-    """Of a table that is itself laid out by unit, the partitions of ``units``, without the unit columns.
+def laid_out_by_unit(df: DataFrame) -> bool:
+    return set(HIGH_VALUES) <= set(df.columns)
 
-    The semi join is on partition columns; a small ``units`` prunes the partitions before they are scanned.
-    Spark plans this pruning only for a filtered side. The filter holds for every unit.
+
+def only_units(df: DataFrame, units: DataFrame, extent: Row) -> DataFrame:
+    """The partitions of ``units`` in a table laid out by unit.
+
+    The range of bounds is a constant filter on the partition column, so that partitions outside it are not
+    even listed. Within it a semi join prunes by dynamic partition pruning, which Spark plans only for a
+    filtered side; that filter holds for every unit.
     """
-    if not set(HIGH_VALUES) <= set(df.columns):
-        return df
     wanted = units.select(*HIGH_VALUES).filter(F.col("partition_hv") > "")
-    return df.join(wanted, HIGH_VALUES, "left_semi").drop(*HIGH_VALUES)
+    ranged = df.filter(F.col("partition_hv").between(extent["first_hv"], extent["last_hv"]))
+    return ranged.join(wanted, HIGH_VALUES, "left_semi")
+
+
+def source_of_units(df: DataFrame, units: DataFrame, extent: Row) -> DataFrame:
+    """Rows of a source without unit columns, cut down to what ``units`` can need."""
+    return only_units(df, units, extent).drop(*HIGH_VALUES) if laid_out_by_unit(df) else df
 
 
 def assign_units(
@@ -113,7 +124,7 @@ def assign_units(
         pairs = F.broadcast(pairs)
 
     day = F.greatest(F.least(F.unix_date(F.to_date(key)), F.lit(last)), F.lit(first - 1))
-    rows = df if outside else within_extent(within_units(df, units), key, extent)
+    rows = df if outside else within_extent(source_of_units(df, units, extent), key, extent)
     rows = rows.withColumn(_DAY, day)
     match = rows[_DAY] == pairs[_DAY]
     if by_list:

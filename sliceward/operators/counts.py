@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sliceward.functions import flag
-from sliceward.operators.assign import assign_units, unit_extent, within_extent, within_units
+from sliceward.operators.assign import assign_units, only_units, source_of_units, unit_extent, within_extent
 from sliceward.schema import HIGH_VALUES, MISMATCH_MESSAGE, UNIT_KEY
 
 
@@ -23,7 +23,7 @@ def unit_row_counts(df: DataFrame, units: DataFrame, key: str, list_col: str | N
     The rows are counted per day first; only the day counts meet the units.
     """
     extent = unit_extent(units)
-    rows = within_extent(within_units(df, units), key, extent)
+    rows = within_extent(source_of_units(df, units, extent), key, extent)
     days = day_histogram(rows, key, list_col)
     per_day = assign_units(days, units, key, list_col, extent=extent)
     return _zero_filled(units, per_day.groupBy(*HIGH_VALUES).agg(F.sum("day_rows").alias("n")))
@@ -32,9 +32,10 @@ def unit_row_counts(df: DataFrame, units: DataFrame, key: str, list_col: str | N
 def stored_row_counts(stored: DataFrame, units: DataFrame) -> DataFrame:
     """A1 on a table laid out by unit: the physical rows of each unit.
 
-    Only partition columns are used, so the scan reads file footers and no data pages.
+    Only partition columns are used, so the scan reads the footers of the units' files and no data pages.
     """
-    return _zero_filled(units, stored.groupBy(*HIGH_VALUES).agg(F.count(F.lit(1)).alias("n")))
+    held = only_units(stored, units, unit_extent(units))
+    return _zero_filled(units, held.groupBy(*HIGH_VALUES).agg(F.count(F.lit(1)).alias("n")))
 
 
 def _zero_filled(units: DataFrame, counts: DataFrame) -> DataFrame:

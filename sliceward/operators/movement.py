@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sliceward.functions import subpartition_hv
-from sliceward.operators.assign import assign_units
+from sliceward.operators.assign import assign_units, laid_out_by_unit
 from sliceward.operators.counts import stored_row_counts
 from sliceward.operators.state import unit_events
 from sliceward.schema import HIGH_VALUES, NO_SUBPARTITION, PARTITION, TARGET, Layer
@@ -88,9 +88,8 @@ def load_units(
     written without a shuffle. The result counts what can be read back per unit.
     """
     check_columns(source, source.sparkSession.table(table), HIGH_VALUES)
-    together = set(HIGH_VALUES) <= set(source.columns)
     rows = assign_units(source, units, key, list_col)
-    return swap_units(rows, table, units, cluster_by, together)
+    return swap_units(rows, table, units, cluster_by, together=laid_out_by_unit(source))
 
 
 def resolve_targets(units: DataFrame, template: DataFrame) -> DataFrame:

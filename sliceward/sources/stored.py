@@ -25,9 +25,7 @@ def _shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     raise ValueError("spark.checkpoint.dir names no folder that all executors share")
 
 

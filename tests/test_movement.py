@@ -140,3 +140,14 @@ def test_targets_are_found_by_list(spark):
 def test_jdbc_source_must_be_split(spark):
     with pytest.raises(ValueError, match="one task"):
         read_source(spark, SourceSpec("jdbc", "orders", {"url": "jdbc:none"}))
+
+
+def test_counting_some_units_lists_only_their_range(spark):
+    name, _, units = load(spark, "ORDERS_ARCH_SRC")
+    some = settle(units.filter("partition_name IN ('P202402', 'P202404')"), "some")
+    counts = op.stored_row_counts(spark.table(name), some)
+    assert sorted(r["n"] for r in counts.collect()) == [48, 58]
+    text = counts._jdf.queryExecution().executedPlan().toString()
+    assert "partition_hv#" in text and ">= 2024-03-01" in text and "<= 2024-05-01" in text
+    assert op.stored_row_counts(spark.table(name), some.filter("false")).count() == 0
+    assert op.unit_row_counts(spark.table(name), some, "order_date").groupBy().sum("n").first()[0] == 106
