@@ -45,6 +45,7 @@ from sliceward.operators.reports import (
     pending_work,
     process_summary,
     recent_issues,
+    report_sections,
     report_window,
 )
 from sliceward.operators.retention import (

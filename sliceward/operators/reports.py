@@ -266,5 +266,27 @@ def recent_issues(
 
 
 def cap_rows(df: DataFrame, *order: str, max_rows: int = REPORT_MAX_ROWS) -> DataFrame:
-    """A report section shows its first rows only."""
-    return df.orderBy(*order).limit(max_rows)
+    """A report section shows its first rows only, in the given order or in its own."""
+    return (df.orderBy(*order) if order else df).limit(max_rows)
+
+
+def report_sections(
+    runs: DataFrame,
+    log: DataFrame,
+    ledger: DataFrame,
+    as_of: Column,
+    layer: Layer = ARCHIVE,
+    lookback_days: int = LOOKBACK_DAYS,
+    max_rows: int = REPORT_MAX_ROWS,
+) -> dict[str, DataFrame]:
+    """The sections of a layer's summary report, each capped."""
+    sections = {
+        "window": report_window(runs, "started_at", as_of, lookback_days),
+        "exec_summary": exec_summary(runs, as_of, lookback_days),
+        "process_summary": process_summary(runs, as_of, layer, lookback_days),
+        "latest_summaries": latest_summaries(log, as_of, layer, lookback_days),
+        "data_status": data_status(ledger, layer),
+        "pending_work": pending_work(ledger, layer),
+        "recent_issues": recent_issues(runs, log, as_of, lookback_days),
+    }
+    return {name: cap_rows(df, max_rows=max_rows) for name, df in sections.items()}

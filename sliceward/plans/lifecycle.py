@@ -15,7 +15,7 @@ import time
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sliceward import operators as op
 from sliceward.operators.checks import step_counters, step_summary
-from sliceward.operators.reports import SUMMARY_BEGIN, SUMMARY_END
+from sliceward.operators.reports import LOOKBACK_DAYS, SUMMARY_BEGIN, SUMMARY_END
 from sliceward.operators.state import RUN_ERROR_LENGTH
 from sliceward.schema import (
     ARCHIVE,
@@ -90,12 +90,16 @@ class Lifecycle:
         bindings: Mapping[tuple[str, str], Binding],
         clock: Callable[[], datetime] = _utc_now,
         tables_at_once: int = 4,
+        target_template: Callable[[], DataFrame] | None = None,
     ) -> None:
+        """target_template: list groups of the targets (``resolve_targets``). Without it a unit keeps the name
+        it has at its source: a table laid out by unit needs no partitions created beforehand."""
         self.spark = spark
         self.config = config
         self.bindings = dict(bindings)
         self.clock = clock
         self.tables_at_once = tables_at_once
+        self.target_template = target_template
         self.unit_events_table = f"{database}.{self.layer.name}_unit_events"
         self.run_events_table = f"{database}.{self.layer.name}_run_events"
         self.log_events_table = f"{database}.{self.layer.name}_log_events"
@@ -117,8 +121,21 @@ class Lifecycle:
     def runs(self) -> DataFrame:
         return op.current_runs(self.run_events())
 
-    def log(self) -> DataFrame:
-        return op.consolidate_log(self.log_events())
+    def log(self, since: datetime | None = None) -> DataFrame:
+        """The log, or that of runs started since. Earlier months are not read: a run's entries all lie in the
+        month it started."""
+        entries = self.log_events()
+        if since is None or "log_month" not in entries.columns:
+            return op.consolidate_log(entries)
+        recent = entries.filter(F.col("log_month") >= f"{since:%Y-%m}")
+        return op.consolidate_log(recent).filter(F.col("start_date") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
+
+    def report(self, as_of: datetime, lookback_days: int = LOOKBACK_DAYS) -> dict[str, DataFrame]:
+        """The summary report of the layer at a point in time, over settled state."""
+        log = settle(self.log(as_of - timedelta(days=lookback_days)), "report_log")
+        runs, ledger = settle(self.runs(), "report_runs"), settle(self.ledger(), "report_ledger")
+        at = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+        return op.report_sections(runs, log, ledger, at, self.layer, lookback_days)
 
     def _state(self, table: str, schema) -> DataFrame:
         if self.spark.catalog.tableExists(table):
@@ -288,15 +305,11 @@ class Lifecycle:
     def _cleanup_table(self, binding: Binding) -> str:
         raise NotImplementedError
 
-    def _target_template(self) -> DataFrame | None:
-        return None
-
     def discover(self, execute: bool = False, target_owner: str | None = None, target_table: str | None = None):
         with self._run("DISCOVER", execute) as run:
             units = op.scope(op.undiscovered(self._found_units(), self.ledger()), target_owner, target_table)
-            template = self._target_template()
-            if template is not None:
-                units = op.resolve_targets(units, template)
+            if self.target_template is not None:
+                units = op.resolve_targets(units, self.target_template())
             units = settle(units, "found")
             lost = units.filter("subpartition_name IS NULL").select(*UNIT_KEY).first()
             if lost is not None and execute:
@@ -404,17 +417,12 @@ class ArchiveLifecycle(Lifecycle):
         *args,
         catalog: Callable[[], DataFrame],
         rules: Callable[[], DataFrame] | None = None,
-        target_template: Callable[[], DataFrame] | None = None,
         **kwargs,
     ) -> None:
         """catalog: the current source units. rules: result rows of the preserve rules (``rule_rows``)."""
         super().__init__(*args, **kwargs)
         self.catalog = catalog
         self.rules = rules
-        self.template = target_template
-
-    def _target_template(self) -> DataFrame | None:
-        return self.template() if self.template else None
 
     def _found_units(self) -> DataFrame:
         return op.source_units(self.config, self.catalog())

@@ -9,7 +9,7 @@ from sliceward import operators as op
 from sliceward.operators.catalog import UNIT_COLUMNS
 from sliceward.sources import settle
 
-LINK = "AGENT_LINK"
+LINK = "SRC_LINK"
 OPEN, DONE = ["NEW", "PAID"], ["SHIPPED", "CLOSED"]
 EOD = "2026-06-01"
 
@@ -120,7 +120,7 @@ def catalog(spark: SparkSession, client: str, table: str) -> DataFrame:
 def config(spark: SparkSession) -> DataFrame:
     rules = {"ORDERS_ARCH_SRC": "end of year", "ORDERS_SUBPART_SRC": "turn of year", "ORDERS_DAILY_INT_SRC": None}
     rows = [
-        (LINK, client, table, "ARCHIVER", f"{client}_{TARGETS[table]}", EOD, 30, rules[table], "Y")
+        (LINK, client, table, "ARCH", f"{client}_{TARGETS[table]}", EOD, 30, rules[table], "Y")
         for client, table in SIZES
     ]
     return config_rows(spark, rows)
@@ -128,7 +128,7 @@ def config(spark: SparkSession) -> DataFrame:
 
 def replica_config(spark: SparkSession) -> DataFrame:
     rows = [
-        ("ARCHIVER_LINK", "ARCHIVER", f"{client}_{TARGETS[table]}", "REPLICA", f"{client}_{TARGETS[table]}_R", None,
+        ("ARCH_LINK", "ARCH", f"{client}_{TARGETS[table]}", "REPLICA", f"{client}_{TARGETS[table]}_R", None,
          365, None, "Y")
         for client, table in SIZES
     ]
@@ -146,6 +146,6 @@ def config_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def rules() -> dict[tuple[str, str], str]:
     found = {}
     for client in ("CLIENT1", "CLIENT2"):
-        found[("ARCHIVER", f"{client}_ORDERS")] = "SELECT DATE'2025-12-31'"
-        found[("ARCHIVER", f"{client}_SUBPART")] = "SELECT explode(array(DATE'2026-01-01', DATE'2025-12-31'))"
+        found[("ARCH", f"{client}_ORDERS")] = "SELECT DATE'2025-12-31'"
+        found[("ARCH", f"{client}_SUBPART")] = "SELECT explode(array(DATE'2026-01-01', DATE'2025-12-31'))"
     return found

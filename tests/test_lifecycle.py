@@ -42,7 +42,7 @@ class World:
                 op.create_unit_table(rows, t)
             op.load_units(rows, units, store, key, list_col)
             cluster = ("customer_id", "order_date")
-            self.bindings[("ARCHIVER", name)] = Binding(SourceSpec("table", store), target, key, list_col, cluster, store)
+            self.bindings[("ARCH", name)] = Binding(SourceSpec("table", store), target, key, list_col, cluster, store)
             replicas[("REPLICA", f"{name}_R")] = Binding(SourceSpec("table", target), replica, key, list_col, cluster)
         self.replicas = replicas
         self.rules = fx.rules()
@@ -95,7 +95,7 @@ def test_first_archive_run(world, spark):
     notes = {r["note"]: r["count"] for r in steps["TRUNCATE"].groupBy("note").count().collect()}
     assert notes == {"SKIP": 30, "PRESERVED per MAX_preserve_date=2025-12-31": 3, "PRESERVED per MAX_preserve_date=2026-01-01": 2}
     assert ledger.filter("truncate_status = 'Y'").count() == 5
-    store = world.bindings[("ARCHIVER", "CLIENT1_ORDERS")]
+    store = world.bindings[("ARCH", "CLIENT1_ORDERS")]
     assert spark.table(store.target).count() == 399 and spark.table(store.source_store).count() == 430
     assert op.ledger_violations(ledger.filter("last_run_id > 0"), world.config, life.runs()).count() == 0
     # The log of the last step can be read back as its summary.
@@ -107,6 +107,31 @@ def test_first_archive_run(world, spark):
     assert lines[1:] == sorted(lines[1:], key=lambda x: x.split("|")[:3] + [x.split("|")[8], x.split("|")[9]])
 
 
+def test_report_after_the_run(world):
+    report = world.archive.report(datetime(2026, 6, 2))
+    counts = {name: df.count() for name, df in report.items()}
+    assert counts == {"window": 1, "exec_summary": 1, "process_summary": 5, "latest_summaries": 5, "data_status": 3,
+                      "pending_work": 3, "recent_issues": 0}
+    assert report["exec_summary"].first()["runs_total"] == 10
+    texts = {r["run_type"]: r["summary_text"] for r in report["latest_summaries"].collect()}
+    assert "EXCHANGED" in texts["ARCHIVE"] and texts["RUNNER"] == "No summary available"
+    assert world.archive.log(datetime(2026, 6, 1, 9)).count() == 0
+    assert world.archive.report(datetime(2026, 7, 2))["exec_summary"].first()["runs_total"] == 0
+
+
+def test_targets_missing_a_list_stop_the_discovery(world, spark):
+    life = ArchiveLifecycle(
+        spark, scratch_database(spark), world.config, world.bindings, lambda: NOW, catalog=world.catalog,
+        target_template=lambda: spark.createDataFrame(
+            [("ARCH", "CLIENT1_SUBPART", "T_OPEN", fx.OPEN)],
+            "target_owner string, target_table string, subpartition_name string, list_values array<string>",
+        ),
+    )
+    with pytest.raises(ValueError, match="not found by list value"):
+        life.discover(execute=True)
+    assert life.ledger().count() == 0 and life.runs().first()["run_status"] == "ERROR"
+
+
 def test_first_replica_run(world, spark):
     replica = world.replica
     errors = replica._found_units().filter("partition_name = 'P_ERROR'")
@@ -125,7 +150,7 @@ def test_executed_truncate_keeps_preserved_units(world, spark):
     world.archive.cleanup(execute=True)
     ledger = world.archive.ledger().filter("partition_name <> 'P_ERROR'")
     assert world.per_table(ledger.filter("truncate_status = 'Y'")) == by_table(8, 14, 8)
-    binding = world.bindings[("ARCHIVER", "CLIENT1_ORDERS")]
+    binding = world.bindings[("ARCH", "CLIENT1_ORDERS")]
     # What is left: the preserved December, and May, which is not archived yet.
     assert spark.table(binding.source_store).count() == 30 + 31
     assert spark.table(binding.target).count() == 399
@@ -161,13 +186,13 @@ def test_stop_steps_mismatch_and_bad_rule(spark):
     life = world.archive
     with pytest.raises(ValueError):
         life.run_all(stop_after="PURGE")
-    assert list(life.run_table("agent_link", "client1", "orders_arch_src", True, "discover")) == ["DISCOVER"]
-    assert list(life.run_table("AGENT_LINK", "CLIENT1", "ORDERS_ARCH_SRC", True, "ARCHIVE")) == ["DISCOVER", "ARCHIVE"]
+    assert list(life.run_table("src_link", "client1", "orders_arch_src", True, "discover")) == ["DISCOVER"]
+    assert list(life.run_table("SRC_LINK", "CLIENT1", "ORDERS_ARCH_SRC", True, "ARCHIVE")) == ["DISCOVER", "ARCHIVE"]
     with pytest.raises(ValueError, match="no enabled table"):
-        life.run_table("AGENT_LINK", "CLIENT1", "NOTHING", True)
+        life.run_table("SRC_LINK", "CLIENT1", "NOTHING", True)
 
     # The source changes after the load: quality stays N, the load stays Y, the run is a warning.
-    binding = world.bindings[("ARCHIVER", "CLIENT1_ORDERS")]
+    binding = world.bindings[("ARCH", "CLIENT1_ORDERS")]
     march = settle(world.catalog().filter("partition_name = 'P202403'"), "march")
     rows = fx.orders(spark, "CLIENT1", "ORDERS_ARCH_SRC").filter("order_id % 5 <> 0")
     op.load_units(rows, march, binding.source_store, "order_date")
@@ -182,7 +207,7 @@ def test_stop_steps_mismatch_and_bad_rule(spark):
     assert life.runs().filter("run_type = 'QUALITY' AND run_status = 'WARNING'").count() == 2
     assert life.runs().filter("run_type = 'RUNNER' AND run_status = 'SUCCESS'").count() == 3
 
-    world.rules[("ARCHIVER", "CLIENT1_ORDERS")] = "SELECT nothing"
+    world.rules[("ARCH", "CLIENT1_ORDERS")] = "SELECT nothing"
     with pytest.raises(ValueError, match="invalid preserve rule"):
         life.run_all(execute=True, stop_after="TRUNCATE", cleanup_execute=True)
     failed = life.runs().filter("run_status = 'ERROR'").collect()

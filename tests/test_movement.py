@@ -130,7 +130,7 @@ def test_odd_list_values_survive_the_partition_path(spark):
 def test_targets_are_found_by_list(spark):
     units = op.source_units(fx.config(spark), fx.catalog(spark, "CLIENT1", "ORDERS_SUBPART_SRC"))
     template = spark.createDataFrame(
-        [("ARCHIVER", "CLIENT1_SUBPART", "T_OPEN", fx.OPEN)],
+        [("ARCH", "CLIENT1_SUBPART", "T_OPEN", fx.OPEN)],
         "target_owner string, target_table string, subpartition_name string, list_values array<string>",
     )
     found = op.resolve_targets(units, template).select("subpartition_hv", "subpartition_name").distinct().collect()
