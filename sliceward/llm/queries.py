@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sliceward.llm.block_anchors import op5_block_anchors
 from sliceward.llm.column_repeats import op9_column_repeats
+from sliceward.llm.pareto_mix import OP8_SQL, op8_pareto_mix
+from sliceward.llm.simhash_anchors import op4_simhash_anchors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simhash_anchors": op4_simhash_anchors,
     "op5_block_anchors": op5_block_anchors,
+    "op8_pareto_mix": op8_pareto_mix,
     "op9_column_repeats": op9_column_repeats,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_pareto_mix": OP8_SQL}
