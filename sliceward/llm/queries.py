@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sliceward.llm.block_anchors import op5_block_anchors
 from sliceward.llm.column_repeats import op9_column_repeats
+from sliceward.llm.deleted_interpolation import op2_deleted_interpolation
+from sliceward.llm.license_scan import OP1_SQL, op1_license_scan
 from sliceward.llm.pareto_mix import OP8_SQL, op8_pareto_mix
 from sliceward.llm.simhash_anchors import op4_simhash_anchors
+from sliceward.llm.toxicity_pu import op3_toxicity_pu
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_deleted_interpolation": op2_deleted_interpolation,
+    "op3_toxicity_pu": op3_toxicity_pu,
     "op4_simhash_anchors": op4_simhash_anchors,
     "op5_block_anchors": op5_block_anchors,
     "op8_pareto_mix": op8_pareto_mix,
     "op9_column_repeats": op9_column_repeats,
 }
 
-ORACLE: dict[str, str] = {"op8_pareto_mix": OP8_SQL}
+ORACLE: dict[str, str] = {"op1_license_scan": OP1_SQL, "op8_pareto_mix": OP8_SQL}
