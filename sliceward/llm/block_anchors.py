@@ -30,8 +30,8 @@ RESULT = [("kept_text", StringType()), ("n_words", LongType()), ("n_removed", Lo
 def remove_repeats(docs: DataFrame, width: int = WIDTH, carry: bool = False) -> DataFrame:
     """Remove each word covered by a window of ``width`` words that also starts in a document with a smaller doc_id.
 
-    Returns doc_id, kept_text (the kept words joined by one space), n_words, n_removed and, with carry, the input row
-    as the struct ``row``. Words are ``[^\\x20\\x09-\\x0D]+``, compared as they are. Windows are judged on the input.
+    Returns doc_id, kept_text (the kept words joined by one space), n_words, n_removed and, with carry, the other columns
+    of the input as the struct ``rest`` and a text from which nothing is removed as it was. Words are ``[^\\x20\\x09-\\x0D]+``, compared as they are. Windows are judged on the input.
 
     Null and empty texts have no words. A null doc_id counts as an id above 2**62 made from the text, and that id is
     returned. Rows with the same doc_id do not remove words from each other, as neither id is smaller; repeats within a
@@ -116,19 +116,36 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, carry: bool = False) ->
         for i, text in enumerate(rows["__text"]):
             found = (text.as_py() or "").encode().split()
             drop = gone[words[i] : words[i + 1]]
-            kept.append(b" ".join([w for w, d in zip(found, drop.tolist(), strict=True) if not d] if drop.any() else found))
+            some = bool(drop.any())
+            if carry and not some:
+                kept.append(text.as_py())
+                continue
+            kept.append(b" ".join([w for w, d in zip(found, drop.tolist(), strict=True) if not d] if some else found).decode())
         sums = np.concatenate(([0], np.cumsum(gone)))
         made = {
             "doc_id": rows["__id"],
-            "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
+            "kept_text": pa.array(kept, pa.string()),
             "n_words": pa.array(np.diff(words), pa.int64()),
             "n_removed": pa.array(sums[words[1:]] - sums[words[:-1]], pa.int64()),
         }
-        return pa.table(made | ({"row": rows["__rest"]} if carry else {}))
+        return pa.table(made | ({"rest": rows["__rest"]} if carry else {}))
 
     hits = C.ask(chunks, ask_probes, find_hits)
     firsts = C.ask(chunks, ask_windows, find_smaller, told=hits)
-    return C.both(chunks, C.together(hits, firsts), remove, C.result_schema(RESULT, docs if carry else None))
+    return C.both(chunks, C.together(hits, firsts), remove, C.result_schema(RESULT, C.rest_of(docs) if carry else None))
+
+
+def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents without their repeated words, columns as given; n_chars, if there, follows the text.
+
+    A document that loses all its words stays, with an empty text.
+    """
+    found = remove_repeats(docs, width, carry=True)
+    made = {"text": F.col("kept_text")}
+    if "n_chars" in docs.columns:
+        kept = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("rest.n_chars"))
+        made["n_chars"] = kept.cast(docs.schema["n_chars"].dataType)
+    return found.select(*[made.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
 def op5_block_anchors(spark, sf_dir: str) -> DataFrame:

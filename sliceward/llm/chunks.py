@@ -45,14 +45,14 @@ def key_of(docs: DataFrame) -> Column:
 def chunked(docs: DataFrame, carry: bool = False, chunk_bytes: int = CHUNK_BYTES) -> Chunked:
     """Write the documents bucketed by chunk. A chunk is a part of one input partition, so nothing is shuffled.
 
-    carry: keep all columns of a row in the struct __rest.
+    carry: keep the other columns of a row in the struct __rest.
     """
     sizes = docs.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("text")).alias("b"))
     most, parts = sizes.agg(F.max("b"), F.max("p")).first()
     pieces, parts = max(1, math.ceil((most or 0) / chunk_bytes)), (parts or 0) + 1
     n = min(MOST_BUCKETS, pieces * parts)
     piece = F.pmod(F.xxhash64("doc_id", "text"), F.lit(pieces))
-    rest = [F.struct("*").alias("__rest")] if carry else []
+    rest = [F.struct(*rest_of(docs).fieldNames()).alias("__rest")] if carry else []
     rows = docs.select(
         (F.spark_partition_id() * pieces + piece).cast("int").alias("__chunk"),
         key_of(docs).alias("__id"),
@@ -64,6 +64,11 @@ def chunked(docs: DataFrame, carry: bool = False, chunk_bytes: int = CHUNK_BYTES
     return Chunked(docs.sparkSession.table(name), n)
 
 
+def rest_of(docs: DataFrame) -> StructType:
+    """The columns besides the text."""
+    return StructType([f for f in docs.schema.fields if f.name != "text"])
+
+
 def ask(chunks: Chunked, asking, answering, told: DataFrame | None = None) -> DataFrame:
     """Answers of the shards to the chunks' keys, stored.
 
@@ -91,7 +96,7 @@ def together(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second.withColumn("shard", F.col("shard") + F.lit(SECOND)))
 
 
-def result_schema(columns: list[tuple], docs: DataFrame | None) -> StructType:
-    """doc_id, these columns and, if the documents are given, their row as a struct."""
+def result_schema(columns: list[tuple], rest: StructType | None = None) -> StructType:
+    """doc_id, these columns and, if given, the other columns of the input as the struct rest."""
     fields = [StructField("doc_id", LongType()), *(StructField(*c) for c in columns)]
-    return StructType(fields + ([StructField("row", docs.schema)] if docs is not None else []))
+    return StructType(fields + ([StructField("rest", rest)] if rest is not None else []))

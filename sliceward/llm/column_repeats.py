@@ -250,7 +250,7 @@ def remove_byte_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHO
 
     shared = C.ask(chunks, ask_minimizers, find_shared)
     earlier = C.ask(chunks, ask_strings, compare, told=shared)
-    return C.both(chunks, C.together(shared, earlier), remove, C.result_schema(RESULT, None))
+    return C.both(chunks, C.together(shared, earlier), remove, C.result_schema(RESULT))
 
 
 def op9_column_repeats(spark, sf_dir: str) -> DataFrame:

@@ -181,7 +181,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
             "score": pa.array(np.add.reduceat(np.log10(p), starts)),
         })
 
-    return C.both(chunks, told, score, C.result_schema(RESULT, None))
+    return C.both(chunks, told, score, C.result_schema(RESULT))
 
 
 def op2_deleted_interpolation(spark, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from sliceward.llm.block_anchors import op5_block_anchors
 from sliceward.llm.column_repeats import op9_column_repeats
 from sliceward.llm.deleted_interpolation import op2_deleted_interpolation
 from sliceward.llm.kneser_ney_quality import op10_kneser_ney_quality
+from sliceward.llm.latent_decontamination import op6_latent_decontamination
 from sliceward.llm.license_scan import OP1_SQL, op1_license_scan
 from sliceward.llm.pareto_mix import OP8_SQL, op8_pareto_mix
 from sliceward.llm.simhash_anchors import op4_simhash_anchors
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity_pu": op3_toxicity_pu,
     "op4_simhash_anchors": op4_simhash_anchors,
     "op5_block_anchors": op5_block_anchors,
+    "op6_latent_decontamination": op6_latent_decontamination,
     "op8_pareto_mix": op8_pareto_mix,
     "op9_column_repeats": op9_column_repeats,
     "op10_kneser_ney_quality": op10_kneser_ney_quality,

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from sliceward.sources.stored import settle
 
@@ -137,8 +138,8 @@ def score(docs: DataFrame, weights: dict[str, float], carry: bool = False) -> Da
             yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.struct("*").alias("row")] if carry else []))
-    rest = f", row {docs.schema.simpleString()}" if carry else ""
-    return rows.mapInArrow(scored, f"doc_id long, score double{rest}")
+    schema = StructType([StructField("doc_id", LongType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(scored, schema.add("row", docs.schema) if carry else schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -152,6 +153,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not predicted to be toxic, rows as given."""
+    return score(docs, train(docs, labels), carry=True).filter("score < 0.5").select("row.*")
+
+
 def op3_toxicity_pu(spark, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
