@@ -100,3 +100,9 @@ def result_schema(columns: list[tuple], rest: StructType | None = None) -> Struc
     """doc_id, these columns and, if given, the other columns of the input as the struct rest."""
     fields = [StructField("doc_id", LongType()), *(StructField(*c) for c in columns)]
     return StructType(fields + ([StructField("rest", rest)] if rest is not None else []))
+
+
+def beside_tasks(rows: DataFrame, most: int) -> DataFrame:
+    """Stored rows for a broadcast join if they are at most so many, else for whatever join Spark chooses."""
+    stored = settle(rows, "bounded")
+    return F.broadcast(stored) if stored.count() <= most else stored

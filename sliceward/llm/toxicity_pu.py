@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from sliceward.llm.chunks import beside_tasks
 from sliceward.sources.stored import settle
 
 FOLDS, HELD_OUT = 5, 0
@@ -85,7 +86,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
     # Rows are taken as unlabelled whatever their label is.
     as_unlabelled = F.pmod(F.xxhash64("doc_id", F.lit("u")), F.lit(1_000_000)) / F.lit(1e6) < min(1.0, MOST_UNLABELLED / total)
     picked = marked.select("doc_id", as_toxic.alias("p"), as_unlabelled.alias("u")).filter("p or u")
-    texts = docs.select("doc_id", "text").join(picked, "doc_id")
+    # The sample is bounded by the two parameters; texts of all documents are not shuffled for it.
+    texts = docs.select("doc_id", "text").join(beside_tasks(picked, 2 * (MOST_TOXIC + MOST_UNLABELLED)), "doc_id")
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
