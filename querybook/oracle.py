@@ -36,7 +36,7 @@ named AS (
   UNION ALL SELECT DISTINCT source_table, d + 1, strftime(d, 'P%Y%m%d') FROM facts WHERE source_table = 'EVENTS'
 ),
 parts AS (
-  SELECT source_table, partition_name, high, lag(high) OVER w AS low,
+  SELECT source_table, partition_name, high, CASE WHEN source_table = 'EVENTS' THEN high - 1 ELSE lag(high) OVER w END AS low,
          CAST(row_number() OVER w AS INTEGER) AS position
   FROM named WINDOW w AS (PARTITION BY source_table ORDER BY coalesce(high, DATE '9999-12-31'))
 ),
@@ -268,7 +268,7 @@ monthly AS (
 both_kinds AS (
   SELECT source_table, partition_name, low, high, position FROM parts WHERE source_table = 'EVENTS'
   UNION ALL
-  SELECT 'ORDERS', strftime(m, 'P%Y%m%d'), lag(high) OVER (ORDER BY m), high,
+  SELECT 'ORDERS', strftime(m, 'P%Y%m%d'), m, high,
          CAST(row_number() OVER (ORDER BY m) AS INTEGER)
   FROM monthly
 )
@@ -420,7 +420,10 @@ SELECT * FROM (
          CASE WHEN min(l_returnflag) = 'A' THEN 'ERROR: execute failed' ELSE 'CORRECT' END FROM lineitem
   UNION ALL SELECT 'ARCHIVE', 'EVENTS_ARCH', 'ERROR: execute failed'
   UNION ALL SELECT 'ARCHIVE', 'ORDERS_ARCH_2', NULL
-  UNION ALL SELECT 'ARCHIVE', 'LINEITEM_ARCH_2', 'CORRECT'
+  UNION ALL SELECT 'ARCHIVE', 'LINEITEM_ARCH_2', 'ERROR: rule was not executed'
+  UNION ALL SELECT 'ARCHIVE', 'ORDERS_ARCH_3', 'CORRECT'
+  UNION ALL SELECT 'ARCHIVE', 'LINEITEM_ARCH_3',
+         CASE WHEN count(l_orderkey) > 0 THEN 'ERROR: execute failed' ELSE 'CORRECT' END FROM lineitem
   UNION ALL SELECT 'ARCHIVE', 'EVENTS_ARCH_2', NULL)""",
     "single_date_rule": """
 SELECT 'ARCHIVE' AS target_owner, 'ORDERS_ARCH' AS target_table,

@@ -346,8 +346,13 @@ def preserve_status(spark, sf_dir):
     without = roles.config(spark).withColumns(
         {"target_table": F.concat("target_table", F.lit("_2")), "preserve_rule": F.nullif("preserve_rule", F.lit("year ends"))}
     )
-    rows = op.rule_rows(spark, _odd_rules(spark, sf_dir))
-    return op.preserve_status(cfg.unionByName(without), rows).select(*TARGET, "preserve_calc")
+    more = cfg.filter("source_table <> 'EVENTS'").withColumn("target_table", F.concat("target_table", F.lit("_3")))
+    rules = _odd_rules(spark, sf_dir) | {
+        (ARCHIVE_OWNER, "ORDERS_ARCH_3"): "SELECT to_date(o_orderdate) FROM rule_orders WHERE o_orderkey < 0",
+        (ARCHIVE_OWNER, "LINEITEM_ARCH_3"): "SELECT CAST(concat('no day ', l_orderkey) AS DATE) FROM rule_lineitem",
+    }
+    rows = op.rule_rows(spark, rules)
+    return op.preserve_status(cfg.unionByName(without).unionByName(more), rows).select(*TARGET, "preserve_calc")
 
 
 @query

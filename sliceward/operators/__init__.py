@@ -49,6 +49,7 @@ from sliceward.operators.reports import (
     report_window,
 )
 from sliceward.operators.retention import (
+    configured_rules,
     preserve_dates,
     preserve_match,
     preserve_status,

@@ -80,6 +80,7 @@ def interval_units(df: DataFrame, key: str, source: tuple[str, str, str], every:
             F.lit(owner).alias("source_owner"),
             F.lit(table).alias("source_table"),
             F.concat(F.lit("P"), F.date_format("first_day", "yyyyMMdd")).alias("partition_name"),
+            "first_day",
             after.alias("high"),
         )
     )
@@ -87,7 +88,7 @@ def interval_units(df: DataFrame, key: str, source: tuple[str, str, str], every:
     numbered = intervals.withColumns(
         {
             "position": F.row_number().over(by_bound),
-            "low": F.lag("high").over(by_bound),
+            "low": F.col("first_day"),
             "partition_hv": F.col("high").cast("string"),
             "subpartition_name": F.lit(None).cast("string"),
             "list_values": F.lit(None).cast("array<string>"),

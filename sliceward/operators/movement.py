@@ -23,7 +23,6 @@ from sliceward.sources import check_columns, create_table, require_partition_ove
 # The cleanup modes of a unit.
 CLEANUP_MODES = ("TRUNCATE", "DROP", "DELETE")
 _DDL_BATCH = 500
-MAX_SHUFFLE_PARTITIONS = 10_000
 
 
 def create_unit_table(like: DataFrame, table: str) -> None:
@@ -45,7 +44,7 @@ def clustered_write(
     require_partition_overwrite(spark, table)
     placed = rows.select(*spark.table(table).columns)
     if not together:
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(units, MAX_SHUFFLE_PARTITIONS))
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), units)
         placed = placed.hint("rebalance", partitions, *HIGH_VALUES)
     placed.sortWithinPartitions(*HIGH_VALUES, *cluster_by).write.insertInto(table, overwrite=True)
 

@@ -279,7 +279,7 @@ def report_sections(
     lookback_days: int = LOOKBACK_DAYS,
     max_rows: int = REPORT_MAX_ROWS,
 ) -> dict[str, DataFrame]:
-    """The sections of a layer's summary report, each capped."""
+    """The sections of a layer's summary report, each capped; rows_total tells how many rows a section has."""
     sections = {
         "window": report_window(runs, "started_at", as_of, lookback_days),
         "exec_summary": exec_summary(runs, as_of, lookback_days),
@@ -289,4 +289,4 @@ def report_sections(
         "pending_work": pending_work(ledger, layer),
         "recent_issues": recent_issues(runs, log, as_of, lookback_days),
     }
-    return {name: cap_rows(df, max_rows=max_rows) for name, df in sections.items()}
+    return {name: cap_rows(df, max_rows=max_rows).withColumn("rows_total", F.lit(df.count())) for name, df in sections.items()}

@@ -4,44 +4,68 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sliceward.schema import TARGET, UNIT_KEY
-
-RULE_SCHEMA = "target_owner string, target_table string, ordinal bigint, preserve_date date"
+from sliceward.sources import for_each_table, settle
+
+RULE_SCHEMA = "target_owner string, target_table string, ordinal bigint, preserve_date date, rule_state string"
+#: What became of a rule. A table without any row has a rule that was not executed.
+ROWS, EMPTY, FAILED = "ROWS", "EMPTY", "FAILED"
+# Fixed value: the text of a rule that cannot be executed.
+RULE_FAILED = "ERROR: execute failed"
+RULE_NOT_RUN = "ERROR: rule was not executed"
+
+
+def _run_rule(spark: SparkSession, text: str) -> DataFrame:
+    """Stored result of one rule, in a job of its own: a rule that fails at any time fails alone."""
+    try:
+        result = spark.sql(text)
+        day = F.expr(f"try_cast(`{result.columns[0]}` AS DATE)").alias("preserve_date")
+        rows = settle(result.select(F.monotonically_increasing_id().alias("ordinal"), day), "rule")
+        state = EMPTY if rows.isEmpty() else ROWS
+    except (PySparkException, Py4JError):
+        state = FAILED
+    if state == ROWS:
+        return rows.withColumn("rule_state", F.lit(ROWS))
+    return spark.range(1).select(
+        F.lit(0).cast("long").alias("ordinal"), F.lit(None).cast("date").alias("preserve_date"), F.lit(state).alias("rule_state")
+    )
 
 
 def rule_rows(spark: SparkSession, rules: dict[tuple[str, str], str]) -> DataFrame:
-    """Result rows of the given rules, tagged with (target_owner, target_table).
+    """Execute the given rules; their rows, tagged with (target_owner, target_table) and the state of the rule.
 
-    A rule Spark cannot analyse, or a value that is no date, gives a NULL date. One plan holds all rules.
-    ``ordinal`` follows the order in which the rule delivers its rows.
+    A value that is no date gives a NULL date. A rule that gives nothing or fails, when it is analysed or when it
+    runs, gives one row with that state and a NULL date. ``ordinal`` follows the order in which the rule delivers
+    its rows. Every rule runs once; the rows are stored.
     """
-    parts = []
-    for (owner, table), text in rules.items():
-        try:
-            result = spark.sql(text)
-            day = F.expr(f"try_cast(`{result.columns[0]}` AS DATE)")
-        except PySparkException:
-            result, day = spark.range(1), F.lit(None).cast("date")
-        parts.append(
-            result.select(
-                F.lit(owner).alias("target_owner"),
-                F.lit(table).alias("target_table"),
-                F.monotonically_increasing_id().alias("ordinal"),
-                day.alias("preserve_date"),
-            )
-        )
+
+    def run(rule: tuple[tuple[str, str], str]) -> DataFrame:
+        (owner, table), text = rule
+        tags = [F.lit(owner).alias("target_owner"), F.lit(table).alias("target_table")]
+        return _run_rule(spark, text).select(*tags, "ordinal", "preserve_date", "rule_state")
+
+    parts = for_each_table(spark, run, rules.items())
     if not parts:
         return spark.createDataFrame([], RULE_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 
+def configured_rules(config: DataFrame) -> DataFrame:
+    """The executed rules of a config: the text in ``preserve_rule`` of every table that has one."""
+    named = config.filter("preserve_rule IS NOT NULL").select(*TARGET, "preserve_rule").distinct()
+    texts = {(r["target_owner"], r["target_table"]): r["preserve_rule"] for r in named.toLocalIterator()}
+    return rule_rows(config.sparkSession, texts)
+
+
 def preserve_dates(config: DataFrame, rows: DataFrame) -> DataFrame:
     """Every configured table with each of its rule's days, or one NULL day when there is none."""
-    return config.select(*TARGET, "preserve_rule").join(rows.select(*TARGET, "preserve_date"), TARGET, "left")
+    days = rows.filter(F.col("rule_state") == ROWS).select(*TARGET, "preserve_date")
+    return config.select(*TARGET, "preserve_rule").join(days, TARGET, "left")
 
 
 def preserve_match(units: DataFrame, dates: DataFrame) -> DataFrame:
@@ -86,26 +110,30 @@ def preserve_match(units: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def preserve_status(config: DataFrame, rows: DataFrame) -> DataFrame:
-    """NULL without a rule, CORRECT when the rule gives nothing or starts with a date, else an ERROR text."""
+    """NULL without a rule, CORRECT when the rule ran and gave nothing or starts with a date, else an ERROR text.
+
+    A rule without an executed result is an error too, so that a cleanup never takes it for one that keeps nothing.
+    """
     first = rows.groupBy(*TARGET).agg(
-        F.min_by("preserve_date", "ordinal").alias("first_date"), F.count(F.lit(1)).alias("rule_rows")
+        F.min_by("preserve_date", "ordinal").alias("first_date"), F.max("rule_state").alias("rule_state")
     )
-    usable = F.col("rule_rows").isNull() | F.col("first_date").isNotNull()
+    usable = (F.col("rule_state") == EMPTY) | (F.col("rule_state") == ROWS) & F.col("first_date").isNotNull()
     return (
         config.join(first, TARGET, "left")
         .withColumn(
             "preserve_calc",
             F.when(F.col("preserve_rule").isNull(), F.lit(None).cast("string"))
+            .when(F.col("rule_state").isNull(), RULE_NOT_RUN)
             .when(usable, "CORRECT")
-            .otherwise("ERROR: execute failed"),
+            .otherwise(RULE_FAILED),
         )
-        .drop("first_date", "rule_rows")
+        .drop("first_date", "rule_state")
     )
 
 
 def single_date_rule(config: DataFrame, rows: DataFrame) -> DataFrame:
     """A retention rule counts only if it yields exactly one date."""
-    days = rows.groupBy(*TARGET).agg(
+    days = rows.filter(F.col("rule_state") == ROWS).groupBy(*TARGET).agg(
         F.when(F.count(F.lit(1)) == 1, F.max("preserve_date")).alias("retention_date")
     )
     return config.select(*TARGET).join(days, TARGET, "left")

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from sliceward import operators as op
 from sliceward.operators.checks import step_counters, step_summary
 from sliceward.operators.reports import LOOKBACK_DAYS, SUMMARY_BEGIN, SUMMARY_END
-from sliceward.operators.state import RUN_ERROR_LENGTH
 from sliceward.schema import (
     ARCHIVE,
     LOG_EVENT_SCHEMA,
@@ -175,11 +174,10 @@ class Lifecycle:
 
     def _finish(self, run: Run, status: str, error: str | None) -> None:
         started, ended = run.started, self.clock()
-        short = error[:RUN_ERROR_LENGTH] if error else None
         self._append_run(
-            run.run_id, None, status, None, None, None, None, None, ended, None, short, ended, 1
+            run.run_id, None, status, None, None, None, None, None, ended, None, error, ended, 1
         )
-        text = f"Finished {run.run_type} with status {status}" + (f": {error[:3000]}" if error else "")
+        text = f"Finished {run.run_type} with status {status}" + (f": {error}" if error else "")
         failed = error is not None
         last = len(run.messages)
         rows = [
@@ -199,7 +197,7 @@ class Lifecycle:
                 ended,
                 text,
                 "STEP" if failed else None,
-                error[:255] if error else None,
+                error,
                 ended,
                 1_000_000 + last,
                 "",
@@ -419,7 +417,8 @@ class ArchiveLifecycle(Lifecycle):
         rules: Callable[[], DataFrame] | None = None,
         **kwargs,
     ) -> None:
-        """catalog: the current source units. rules: result rows of the preserve rules (``rule_rows``)."""
+        """catalog: the current source units. rules: executed preserve rules (``rule_rows``), for rules that are kept
+        elsewhere; by default the texts in ``preserve_rule`` of the config are executed."""
         super().__init__(*args, **kwargs)
         self.catalog = catalog
         self.rules = rules
@@ -431,23 +430,25 @@ class ArchiveLifecycle(Lifecycle):
         return op.archivable(self.ledger(), self.config)
 
     def _checked(self, binding: Binding, units: DataFrame) -> DataFrame:
-        source = read_source(self.spark, binding.source)
-        counts = op.unit_row_counts(source, units, binding.key, binding.list_col)
+        """A source laid out by unit is counted as it lies, since that is what a cleanup removes: a row that lies in
+        a unit it does not belong to is a mismatch. Another source is counted by its keys."""
+        if binding.source_store is not None:
+            counts = op.stored_row_counts(self.spark.table(binding.source_store), units)
+        else:
+            source = read_source(self.spark, binding.source)
+            counts = op.unit_row_counts(source, units, binding.key, binding.list_col)
         return op.reconcile_recorded(units, counts)
 
-    def _rule_rows(self) -> DataFrame:
-        if self.rules is None:
-            return op.rule_rows(self.spark, {})
-        return self.rules()
-
     def _cleanable(self, owner: str | None, table: str | None) -> DataFrame:
-        rows = self._rule_rows()
-        status = op.scope(op.preserve_status(self.config, rows), owner, table)
-        bad = status.filter("preserve_calc LIKE 'ERROR:%'").count()
+        """Units to truncate with the dates that keep some of them. Only rules of tables in scope are executed; one
+        without a usable result stops the cleanup before anything is done."""
+        config = op.scope(self.config, owner, table)
+        rows = settle(self.rules() if self.rules is not None else op.configured_rules(config), "rule_rows")
+        bad = op.preserve_status(config, rows).filter("preserve_calc LIKE 'ERROR:%'").count()
         if bad:
-            raise ValueError(f"{bad} table(s) with invalid preserve rule")
+            raise ValueError(f"the preserve rule of {bad} table(s) has no usable result; nothing was cleaned up")
         units = op.scope(op.truncatable(self.ledger(), self.config), owner, table)
-        return op.preserve_match(units, op.preserve_dates(self.config, rows))
+        return op.preserve_match(units, op.preserve_dates(config, rows))
 
     def _cleanup_table(self, binding: Binding) -> str:
         if binding.source_store is None:

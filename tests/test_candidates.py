@@ -115,7 +115,7 @@ def test_source_units_skip_open_ends_and_disabled_tables(spark):
 def preserved(spark, units, days):
     rows = spark.createDataFrame([("A", "T_A", i, d) for i, d in enumerate(days)], "target_owner string, "
                                  "target_table string, ordinal bigint, preserve_date string")
-    rows = rows.withColumn("preserve_date", F.col("preserve_date").cast("date"))
+    rows = rows.withColumn("preserve_date", F.col("preserve_date").cast("date")).withColumn("rule_state", F.lit("ROWS"))
     cfg = config(spark).withColumn("preserve_rule", F.lit("rule"))
     matched = op.preserve_match(units, op.preserve_dates(cfg, rows))
     return {r["partition_hv"]: r["preserve_date"] for r in matched.collect()}
@@ -141,7 +141,8 @@ def test_rule_states(spark):
     cfg = fx.config_rows(
         spark,
         [("L", "O", t, "A", t, "2024-01-01", 1, rule, "Y") for t, rule in
-         [("none", None), ("empty", "r"), ("good", "r"), ("two", "r"), ("nulls", "r"), ("broken", "r"), ("text", "r")]],
+         [("none", None), ("empty", "r"), ("good", "r"), ("two", "r"), ("nulls", "r"), ("broken", "r"), ("text", "r"),
+          ("at_run", "r"), ("not_run", "r")]],
     )
     rows = op.rule_rows(
         spark,
@@ -152,16 +153,18 @@ def test_rule_states(spark):
             ("A", "nulls"): "SELECT * FROM VALUES (CAST(NULL AS DATE)), (DATE'2024-01-01') t(d)",
             ("A", "broken"): "SELEC DATE'2024-01-01'",
             ("A", "text"): "SELECT 'someday'",
+            ("A", "at_run"): "SELECT CAST(concat('no day ', id) AS DATE) FROM range(3)",
         },
     )
     found = {r["target_table"]: r["preserve_calc"] for r in op.preserve_status(cfg, rows).collect()}
     assert found == {
         "none": None, "empty": "CORRECT", "good": "CORRECT", "two": "CORRECT",
         "nulls": "ERROR: execute failed", "broken": "ERROR: execute failed", "text": "ERROR: execute failed",
+        "at_run": "ERROR: execute failed", "not_run": "ERROR: rule was not executed",
     }
     single = {r["target_table"]: r["retention_date"] for r in op.single_date_rule(cfg, rows).collect()}
     assert single["good"] == date(2024, 1, 1)
-    assert [single[t] for t in ("none", "empty", "two", "nulls", "broken", "text")] == [None] * 6
+    assert [single[t] for t in ("none", "empty", "two", "nulls", "broken", "text", "at_run", "not_run")] == [None] * 8
 
 
 def test_scope(spark):

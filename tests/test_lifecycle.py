@@ -208,16 +208,101 @@ def test_stop_steps_mismatch_and_bad_rule(spark):
     assert life.runs().filter("run_type = 'RUNNER' AND run_status = 'SUCCESS'").count() == 3
 
     world.rules[("ARCH", "CLIENT1_ORDERS")] = "SELECT nothing"
-    with pytest.raises(ValueError, match="invalid preserve rule"):
+    with pytest.raises(ValueError, match="no usable result"):
         life.run_all(execute=True, stop_after="TRUNCATE", cleanup_execute=True)
     failed = life.runs().filter("run_status = 'ERROR'").collect()
     assert {r["run_type"] for r in failed} == {"TRUNCATE", "RUNNER"}
-    assert all("invalid preserve rule" in r["error_message"] for r in failed)
+    assert all("no usable result" in r["error_message"] for r in failed)
     issues = op.recent_issues(life.runs(), life.log(), F.lit("2026-06-02 00:00:00").cast("timestamp_ntz"))
     assert issues.filter("status_name = 'ERROR'").count() == 4
     assert spark.table(binding.source_store).count() > 400
 
 
+def executed_rules(world, rules: dict[str, str]):
+    """Let the lifecycle execute the rules of its config."""
+    life = world.archive
+    life.rules = None
+    rule = F.coalesce(*[F.when(F.col("target_table") == t, F.lit(r)) for t, r in rules.items()], F.lit(None).cast("string"))
+    life.config = world.config.withColumn("preserve_rule", rule)
+    return life
+
+
+def test_configured_rule_without_result_stops_the_cleanup(spark):
+    world = World(spark, clients=["CLIENT1"], tables=["ORDERS_ARCH_SRC"])
+    life, store = world.archive, world.bindings[("ARCH", "CLIENT1_ORDERS")].source_store
+    life.run_all(execute=True)
+    rows = spark.table(store).count()
+    life.rules = None
+    with pytest.raises(ValueError, match="no usable result"):
+        life.cleanup(execute=True)
+    life.rules = lambda: op.rule_rows(spark, {})
+    with pytest.raises(ValueError, match="no usable result"):
+        life.cleanup(execute=True)
+    assert spark.table(store).count() == rows
+
+    executed_rules(world, {"CLIENT1_ORDERS": "SELECT DATE'2025-12-31'"}).cleanup(execute=True)
+    assert spark.table(store).filter("partition_hv = '2026-01-01'").count() > 0
+    assert spark.table(store).count() < rows
+
+
+def test_failing_rule_of_another_table_does_not_matter(spark):
+    world = World(spark, clients=["CLIENT1", "CLIENT2"], tables=["ORDERS_ARCH_SRC"])
+    life = executed_rules(
+        world,
+        {
+            "CLIENT1_ORDERS": "SELECT CAST(concat('no day ', id) AS DATE) FROM range(2)",
+            "CLIENT2_ORDERS": "SELECT DATE'2025-12-31' WHERE false",
+        },
+    )
+    life.run_all(execute=True)
+    with pytest.raises(ValueError, match="no usable result"):
+        life.cleanup(execute=True)
+    life.cleanup(execute=True, target_owner="ARCH", target_table="CLIENT2_ORDERS")
+    stores = [world.bindings[("ARCH", f"CLIENT{i}_ORDERS")].source_store for i in (1, 2)]
+    assert spark.table(stores[0]).filter("partition_hv = '2026-01-01'").count() > 0
+    assert spark.table(stores[1]).filter("partition_hv = '2026-01-01'").count() == 0
+
+
+def test_row_in_a_unit_it_does_not_belong_to_is_a_mismatch(spark):
+    """The source is counted as it lies: what a cleanup would remove must be what was archived."""
+    world = World(spark, clients=["CLIENT1"], tables=["ORDERS_ARCH_SRC"])
+    life, store = executed_rules(world, {}), world.bindings[("ARCH", "CLIENT1_ORDERS")].source_store
+    life.run_all(execute=True, stop_after="ARCHIVE")
+    table = spark.table(store)
+    march = life.ledger().filter("partition_name = 'P202403'").first()
+    stray = settle(table.filter("order_date < DATE'2024-03-01'").limit(1), "stray")
+    placed = stray.withColumns({c: F.lit(march[c]) for c in ("partition_hv", "subpartition_hv")})
+    placed.select(*table.columns).write.insertInto(store)
+    spark.catalog.refreshTable(store)
+    notes = {r["partition_name"]: r["note"] for r in life.quality(execute=True).collect()}
+    assert notes["P202403"] == "MISMATCH" and set(notes.values()) == {"OK", "MISMATCH"}
+    life.cleanup(execute=True)
+    found = spark.table(store).filter(F.col("partition_hv") == march["partition_hv"])
+    assert found.filter(F.col("order_id") == stray.first()["order_id"]).count() == 1
+
+
+def test_error_texts_are_stored_whole(spark):
+    world = World(spark, clients=["CLIENT1"], tables=["ORDERS_ARCH_SRC"])
+    life, text = world.archive, "x" * 10_000
+    with pytest.raises(RuntimeError), life._run("DISCOVER", True):
+        raise RuntimeError(text)
+    assert life.run_events().filter(F.col("error_message") == text).count() == 1
+    assert life.log_events().filter(F.col("last_err_desc") == text).count() == 1
+    assert len(life.runs().first()["error_message"]) == 4000
+
+
+def test_cut_report_sections_tell_their_size(spark):
+    rows = [(i, "DISCOVER", "SUCCESS", datetime(2026, 6, 1, 1), datetime(2026, 6, 1, 2)) for i in range(5)]
+    runs = spark.createDataFrame(rows, "run_id long, run_type string, run_status string, started_at timestamp_ntz, ended_at timestamp_ntz")
+    world = World(spark, clients=["CLIENT1"], tables=["ORDERS_ARCH_SRC"])
+    world.archive.run_all(execute=True)
+    report = op.report_sections(
+        world.archive.runs(), world.archive.log(), world.archive.ledger(), F.lit("2026-06-02 00:00:00").cast("timestamp_ntz"), max_rows=1
+    )
+    totals = {name: (df.count(), df.first()["rows_total"] if df.count() else 0) for name, df in report.items()}
+    assert runs.count() == 5 and totals["process_summary"][0] == 1 < totals["process_summary"][1]
+
+
 def test_replica_run_needs_one_link(spark):
     cfg = fx.replica_config(spark).withColumn("source_link", F.col("source_table"))
     life = ReplicaLifecycle(spark, scratch_database(spark), cfg, {}, lambda: NOW, archive_ledger=lambda: None)

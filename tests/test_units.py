@@ -92,7 +92,19 @@ def test_interval_units_follow_the_data(spark):
     rows = fx.orders(spark, "CLIENT1", "ORDERS_DAILY_INT_SRC")
     units = op.interval_units(rows, "order_date", (fx.LINK, "CLIENT1", "T")).orderBy("position").collect()
     assert [u["partition_name"] for u in units] == list(fx.GOLDEN_DAILY)
-    assert units[0]["low"] is None and units[1]["low"] == units[0]["high"] == date(2024, 5, 2)
+    assert units[0]["low"] == date(2024, 5, 1) and units[1]["low"] == units[0]["high"] == date(2024, 5, 2)
+
+
+def test_late_row_on_a_gap_day_counts_in_no_other_unit(spark):
+    source = (fx.LINK, "CLIENT1", "T")
+    rows = spark.createDataFrame([("2024-05-01",), ("2024-05-04",)], "d string").select(F.to_date("d").alias("d"))
+    known = settle(op.interval_units(rows, "d", source), "gap_units")
+    late = rows.unionByName(spark.sql("SELECT DATE'2024-05-02' AS d"))
+    after = op.interval_units(late, "d", source)
+    may_4 = known.filter("partition_name = 'P20240504'")
+    counts = [op.unit_row_counts(late, u, "d").filter("partition_hv = '2024-05-05'").first()["n"] for u in (may_4, known, after)]
+    assert counts == [1, 1, 1]
+    assert after.count() == 3
 
 
 def brute_force(rows, units, key, list_col):
