@@ -292,7 +292,8 @@ FROM orders WHERE EXISTS (
   SELECT 1 FROM units u WHERE u.source_table = 'ORDERS' AND u.high IS NOT NULL AND u.position % 2 = 0
      AND (u.low IS NULL OR o_orderdate >= u.low) AND o_orderdate < u.high)""",
     "clustered_write": f"""WITH {_UNITS}
-SELECT partition_hv, subpartition_hv, count(*) AS n, min(l_partkey) AS first_part, max(l_partkey) AS last_part
+SELECT partition_hv, subpartition_hv, count(*) AS n, min(l_partkey) AS first_part, max(l_partkey) AS last_part,
+       0::BIGINT AS files_overlap
 FROM lineitem JOIN units u
   ON u.source_table = 'LINEITEM' AND (u.low IS NULL OR l_shipdate >= u.low)
  AND (u.high IS NULL OR l_shipdate < u.high) AND list_contains(u.lst, l_returnflag)

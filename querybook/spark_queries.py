@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from querybook import roles
@@ -126,15 +127,19 @@ def _loaded(spark, sf_dir, source, rows=None, units=None, cluster_by=()):
 
 @query
 def clustered_write(spark, sf_dir):
-    """What a clustered load of all shipments holds per unit."""
+    """What a clustered load of all shipments holds per unit, and how many of its files reach into another."""
     name, _, _ = _loaded(spark, sf_dir, "LINEITEM", cluster_by=("l_partkey", "l_shipdate"))
+    ends = [F.count(F.lit(1)).alias("n"), F.min("l_partkey").alias("first_part"), F.max("l_partkey").alias("last_part")]
+    files = spark.table(name).groupBy(*HIGH_VALUES, F.col("_metadata.file_path").alias("file")).agg(*ends)
+    before = F.lag("last_part").over(Window.partitionBy(*HIGH_VALUES).orderBy("first_part", "last_part"))
     return (
-        spark.table(name)
+        files.withColumn("overlaps", F.coalesce(F.col("first_part") < before, F.lit(False)))
         .groupBy(*HIGH_VALUES)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("l_partkey").alias("first_part"),
-            F.max("l_partkey").alias("last_part"),
+            F.sum("n").alias("n"),
+            F.min("first_part").alias("first_part"),
+            F.max("last_part").alias("last_part"),
+            F.count_if("overlaps").alias("files_overlap"),
         )
     )
 

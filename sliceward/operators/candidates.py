@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sliceward.functions import business_date
 from sliceward.schema import (
     ARCHIVE,
     BOUNDS,
@@ -28,8 +29,10 @@ def _enabled(config: DataFrame) -> DataFrame:
 
 
 def _ledger_with(ledger: DataFrame, config: DataFrame, *policy: str) -> DataFrame:
-    """Ledger rows of enabled tables with the table's policy columns."""
-    return ledger.join(_enabled(config).select(*SOURCE, *policy), SOURCE)
+    """Ledger rows of enabled tables with the table's policy columns. A table without a last business date is an
+    error where that date decides: taking nothing from it would look like nothing to do."""
+    known = {"last_business_date": business_date(F.col("last_business_date").cast("string")).alias("last_business_date")}
+    return ledger.join(_enabled(config).select(*SOURCE, *[known.get(c, F.col(c)) for c in policy]), SOURCE)
 
 
 def source_units(config: DataFrame, catalog: DataFrame) -> DataFrame:

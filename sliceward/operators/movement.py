@@ -35,17 +35,19 @@ def clustered_write(
 ) -> None:
     """Overwrite the units present in ``rows``, clustered so that file statistics prune on ``cluster_by``.
 
-    The rebalance hint groups the rows of a unit. Adaptive execution then splits a unit that is larger than
-    the advisory partition size over several tasks and files and joins small ones, so neither a hot unit nor
-    many tiny ones need a file count chosen beforehand. With a shuffle partition per unit at least, few units
-    share one. Rows that come from files of one unit each are already ``together`` and are not shuffled.
+    With ``cluster_by`` rows are dealt by ranges of (unit, cluster_by), so a unit larger than a task is cut by value
+    and the files of a unit hold disjoint ranges; adaptive execution joins small ranges. Without it the rebalance hint
+    groups the rows of a unit, and adaptive execution splits a unit that is larger than the advisory partition size
+    and joins small ones; with a shuffle partition per unit at least, few units share one. Rows that come from files
+    of one unit each are already ``together`` and are not shuffled.
     """
     spark = rows.sparkSession
     require_partition_overwrite(spark, table)
     placed = rows.select(*spark.table(table).columns)
     if not together:
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), units)
-        placed = placed.hint("rebalance", partitions, *HIGH_VALUES)
+        ranges = [F.col(c) for c in (*HIGH_VALUES, *cluster_by)]
+        placed = placed.repartitionByRange(partitions, *ranges) if cluster_by else placed.hint("rebalance", partitions, *HIGH_VALUES)
     placed.sortWithinPartitions(*HIGH_VALUES, *cluster_by).write.insertInto(table, overwrite=True)
 
 

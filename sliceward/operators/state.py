@@ -13,6 +13,8 @@ from sliceward.functions import interval_seconds, log_stamp, stamp, text_or_null
 from sliceward.schema import BOUNDS, NAMES, SOURCE, TARGET, UNIT_KEY, Layer
 
 ORDER = ("event_ts", "seq")
+#: Run ids rise with time, so events of one moment are ordered by their runs, and within a run by its steps.
+UNIT_ORDER = ("event_ts", "last_run_id", "seq")
 
 # Status of an entry that never had one, and text lengths of the process log.
 UNDEFINED = "UNDEFINED"
@@ -20,15 +22,15 @@ ERROR_TEXT_LENGTH = 255
 RUN_ERROR_LENGTH = 4000
 
 
-def last_known(column: str) -> Column:
+def last_known(column: str, order: tuple[str, ...] = ORDER) -> Column:
     """Last value of a column that is not NULL, in event order."""
-    known = F.when(F.col(column).isNotNull(), F.struct(*ORDER))
+    known = F.when(F.col(column).isNotNull(), F.struct(*order))
     return F.max_by(column, known).alias(column)
 
 
-def last_said(name: str, columns: list[str], known: Column | None = None) -> Column:
+def last_said(name: str, columns: list[str], known: Column | None = None, order: tuple[str, ...] = ORDER) -> Column:
     """Columns of the last event, NULLs included; with ``known``, of the last event it holds for."""
-    when = F.struct(*ORDER) if known is None else F.when(known, F.struct(*ORDER))
+    when = F.struct(*order) if known is None else F.when(known, F.struct(*order))
     return F.max_by(F.struct(*columns), when).alias(name)
 
 
@@ -38,9 +40,9 @@ def current_units(unit_events: DataFrame, layer: Layer) -> DataFrame:
     description = TARGET + ["unit_type"] + NAMES + BOUNDS
     sticky = layer.statuses + ["source_rows", "target_rows"]
     folded = unit_events.groupBy(*UNIT_KEY).agg(
-        last_said("description", description, F.col("unit_type").isNotNull()),
-        *[last_known(c) for c in sticky],
-        last_said("latest", ["last_run_id", "error_message"]),
+        last_said("description", description, F.col("unit_type").isNotNull(), UNIT_ORDER),
+        *[last_known(c, UNIT_ORDER) for c in sticky],
+        last_said("latest", ["last_run_id", "error_message"], order=UNIT_ORDER),
     )
     return folded.select(*UNIT_KEY, "description.*", *sticky, "latest.*")
 
