@@ -153,3 +153,25 @@ def op5_block_anchors(spark, sf_dir: str) -> DataFrame:
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
+
+
+#: The same in SQL, over all windows.
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+e AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+g AS (
+  SELECT *, string_agg(word, ' ') OVER later AS k, count(*) OVER later AS n
+  FROM e WINDOW later AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+),
+f AS (SELECT md5(k) AS k, min(doc_id) AS least FROM g WHERE n = 50 GROUP BY md5(k)),
+r AS (SELECT g.doc_id, pos, word, coalesce(n = 50 AND least < g.doc_id, false)::INT AS hit FROM g LEFT JOIN f ON md5(g.k) = f.k),
+c AS (
+  SELECT doc_id, pos, word, max(hit) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM r
+),
+s AS (
+  SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept FROM c GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""

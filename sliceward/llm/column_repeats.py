@@ -258,3 +258,32 @@ def op9_column_repeats(spark, sf_dir: str) -> DataFrame:
     found = remove_byte_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     digest = F.sha2("kept_bytes", 256).alias("kept_sha256")
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
+#: The same in SQL, over all windows.
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, len(h) // 2 AS n, unnest(range(0, len(h) // 2, 1000)) AS base FROM d),
+q AS (SELECT doc_id, n, base, substr(h, 2 * base + 1, 2100) AS part FROM p),
+e AS (SELECT *, unnest(range(least(1000, n - base))) AS off FROM q),
+g AS (
+  SELECT doc_id, base + off AS pos, substr(part, 2 * off + 1, 2) AS byte, md5(substr(part, 2 * off + 1, 100)) AS k,
+         base + off + 50 <= n AS whole
+  FROM e
+),
+f AS (SELECT k, min(doc_id) AS least FROM g WHERE whole GROUP BY k),
+r AS (SELECT g.doc_id, pos, byte, coalesce(whole AND least < g.doc_id, false)::INT AS hit FROM g LEFT JOIN f USING (k)),
+c AS (
+  SELECT doc_id, pos, byte, max(hit) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM r
+),
+b AS (SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), 0) = 0 AS head FROM c),
+s AS (
+  SELECT doc_id, sum(gone) AS n_removed, count(*) FILTER (head) AS n_spans,
+         string_agg(byte, '' ORDER BY pos) FILTER (gone = 0) AS kept
+  FROM b GROUP BY doc_id
+)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""

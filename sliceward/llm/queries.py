@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sliceward.llm.block_anchors import op5_block_anchors
+from sliceward.llm.block_anchors import OP5_SQL, op5_block_anchors
 from sliceward.llm.blockmax_topk import OP7_SQL, op7_blockmax_topk
-from sliceward.llm.column_repeats import op9_column_repeats
+from sliceward.llm.column_repeats import OP9_SQL, op9_column_repeats
 from sliceward.llm.deleted_interpolation import op2_deleted_interpolation
 from sliceward.llm.kneser_ney_quality import op10_kneser_ney_quality
 from sliceward.llm.latent_decontamination import op6_latent_decontamination
@@ -30,4 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_kneser_ney_quality": op10_kneser_ney_quality,
 }
 
-ORACLE: dict[str, str] = {"op1_license_scan": OP1_SQL, "op7_blockmax_topk": OP7_SQL, "op8_pareto_mix": OP8_SQL}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": OP1_SQL,
+    "op5_block_anchors": OP5_SQL,
+    "op7_blockmax_topk": OP7_SQL,
+    "op8_pareto_mix": OP8_SQL,
+    "op9_column_repeats": OP9_SQL,
+}
