@@ -223,15 +223,17 @@ _SUMMARY_CELLS = ", ".join(
 _ONE_TABLE = "SELECT source_table, partition_hv, subpartition_hv, n FROM counts"
 
 
-def _held(where_gone: str, cte: str, source: str) -> str:
-    """Rows per unit of one source after the units in ``where_gone`` were emptied."""
+def _held(where_gone: str, cte: str, source: str | None = None, suffix: str = "") -> str:
+    """Rows per unit of one source or of all after the units in ``where_gone`` were emptied."""
+    of_source = f"WHERE u.source_table = '{source}'" if source else ""
     return f"""WITH {cte}
 SELECT 'CORE' AS source_link, 'SALES' AS source_owner, u.source_table, u.partition_hv, u.subpartition_hv,
        CASE WHEN EXISTS (SELECT 1 FROM {where_gone} g
-                         WHERE g.partition_hv = u.partition_hv AND g.subpartition_hv = u.subpartition_hv)
+                         WHERE g.source_table = u.source_table || '{suffix}'
+                           AND g.partition_hv = u.partition_hv AND g.subpartition_hv = u.subpartition_hv)
             THEN 0 ELSE c.n END AS n
 FROM units u JOIN counts c USING (source_table, partition_hv, subpartition_hv)
-WHERE u.source_table = '{source}'"""
+{of_source}"""
 
 
 # The whole archive run: the source is loaded in full, so every closed unit is confirmed.
@@ -322,8 +324,7 @@ FROM ledger WHERE source_table = 'LINEITEM' AND archive_status = 'Y'""",
     "reconcile_recounted": f"""WITH {_COUNTS}
 SELECT {_KEY}, n AS source_rows, kept AS target_rows, CASE WHEN n = kept THEN 'Y' ELSE 'N' END AS quality_status,
        CASE WHEN n <> kept THEN 'Source row count does not match target row count' END AS error_message
-FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv)
-WHERE source_table <> 'EVENTS'""",
+FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv)""",
     "step_counters": f"""WITH {_CLEANABLE},
 archived AS (SELECT * FROM ledger WHERE archive_status = 'Y'),
 totals AS (
@@ -460,7 +461,7 @@ SELECT {_KEY}, source_rows AS n FROM ledger WHERE archive_status = 'Y'""",
 SELECT r.source_link, r.source_owner, r.source_table, r.partition_hv, r.subpartition_hv, c.n
 FROM replica r JOIN counts c ON c.source_table || '_ARCH' = r.source_table
  AND c.partition_hv = r.partition_hv AND c.subpartition_hv = r.subpartition_hv
-WHERE replica_status = 'N' AND high > cutoff_date AND r.source_table = 'LINEITEM_ARCH'""",
+WHERE replica_status = 'N' AND high > cutoff_date""",
     "cleanup_units": f"""WITH {_COUNTS},
 held AS (
   SELECT partition_hv, n, coalesce(high <= DATE '1998-01-01', FALSE) AS early
@@ -472,14 +473,8 @@ SELECT cleanup_mode, partition_hv, CASE WHEN early THEN 0 ELSE n END AS n,
 FROM held, (VALUES ('TRUNCATE'), ('DELETE'), ('DROP')) AS m(cleanup_mode)""",
     "rows_outside": f"""SELECT o_orderkey, strftime(o_orderdate, {_MICROS}) AS o_orderdate
 FROM orders WHERE o_orderdate >= DATE '1998-01-01'""",
-    "truncate_source": _held(
-        "(SELECT * FROM cleanable WHERE preserve_date IS NULL AND source_table = 'LINEITEM')", _CLEANABLE, "LINEITEM"
-    ),
-    "purge": _held(
-        "(SELECT * FROM replica WHERE replica_status = 'Y' AND high <= cutoff_date AND source_table = 'LINEITEM_ARCH')",
-        _REPLICA,
-        "LINEITEM",
-    ),
+    "truncate_source": _held("(SELECT * FROM cleanable WHERE preserve_date IS NULL)", _CLEANABLE),
+    "purge": _held("(SELECT * FROM replica WHERE replica_status = 'Y' AND high <= cutoff_date)", _REPLICA, suffix="_ARCH"),
     "mark_units": f"""WITH {_COUNTS},
 u AS (SELECT {_KEY}, n FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv)
       WHERE high IS NOT NULL)
@@ -569,7 +564,7 @@ FROM recent""",
     "process_summary": f"""WITH {_RUNS}
 SELECT p.run_type, count(r.run_id) AS runs_total, {_tally("r.")},
        strftime(max(started_at), {_SECONDS}) AS latest_started
-FROM {_processes()} LEFT JOIN recent r ON r.run_type = p.run_type AND r.run_type <> 'ARCHIVE'
+FROM {_processes()} LEFT JOIN recent r ON r.run_type = p.run_type
 GROUP BY p.run_type""",
     "latest_summaries": f"""WITH {_LOG}
 SELECT p.run_type, coalesce(arg_max(log_status, start_date), 'N/A') AS latest_status,

@@ -219,7 +219,7 @@ def reconcile_recounted(spark, sf_dir):
         target_counts = op.stored_row_counts(spark.table(name), units)
         return op.reconcile_recounted(units, source_counts, target_counts)
 
-    return roles.union(for_each_table(spark, checked, ("ORDERS", "LINEITEM"))).select(*UNIT_KEY, "source_rows", "target_rows", "quality_status", "error_message")
+    return roles.union(for_each_table(spark, checked, SOURCES)).select(*UNIT_KEY, "source_rows", "target_rows", "quality_status", "error_message")
 
 
 def _cleanable(spark, sf_dir, ledger):
@@ -431,13 +431,19 @@ def archive(spark, sf_dir):
 
 @query
 def replicate(spark, sf_dir):
-    """Replica load of shipments from an archive laid out by unit."""
+    """Replica loads of all tables from archives laid out by unit."""
     _, cfg, bases, ledger = _replica(spark, sf_dir)
-    units = settle(op.replicable(ledger, cfg, bases).filter("source_table = 'LINEITEM_ARCH'"), "replicable")
-    archive_table, _, _ = _loaded(spark, sf_dir, "LINEITEM")
-    replica_table = scratch_name(spark, "lineitem_replica")
-    op.create_unit_table(spark.table(archive_table), replica_table)
-    return op.load_units(spark.table(archive_table), units, replica_table, "l_shipdate", "l_returnflag")
+    units = settle(op.replicable(ledger, cfg, bases), "replicable")
+
+    def replicated(source):
+        _, key, list_col = SOURCES[source]
+        archive_table, _, _ = _loaded(spark, sf_dir, source)
+        replica_table = scratch_name(spark, f"{source.lower()}_replica")
+        op.create_unit_table(spark.table(archive_table), replica_table)
+        own = units.filter(F.col("source_table") == f"{source}_ARCH")
+        return op.load_units(spark.table(archive_table), own, replica_table, key, list_col)
+
+    return roles.union(for_each_table(spark, replicated, SOURCES))
 
 
 @query
@@ -465,24 +471,30 @@ def rows_outside(spark, sf_dir):
     return shown(left, "o_orderkey", "o_orderdate")
 
 
+def _rows_left(spark, sf_dir, gone, suffix):
+    """Every source is loaded as a whole and the units of ``gone`` are emptied; rows left per unit."""
+
+    def cleaned(source):
+        name, all_units, _ = _loaded(spark, sf_dir, source)
+        op.cleanup_units(name, gone.filter(F.col("source_table") == source + suffix), "TRUNCATE", execute=True)
+        return op.stored_row_counts(spark.table(name), all_units)
+
+    return roles.union(for_each_table(spark, cleaned, SOURCES))
+
+
 @query
 def truncate_source(spark, sf_dir):
-    """Cleanup of the shipments' source, without units that hold a preserve date; rows left per unit."""
-    units = _cleanable(spark, sf_dir, roles.archive_ledger(spark, sf_dir)).filter("source_table = 'LINEITEM'")
+    """Cleanup of all sources, without units that hold a preserve date; rows left per unit."""
+    units = _cleanable(spark, sf_dir, roles.archive_ledger(spark, sf_dir))
     free = settle(units.filter("preserve_date IS NULL"), "free_units")
-    name, all_units, _ = _loaded(spark, sf_dir, "LINEITEM")
-    op.cleanup_units(name, free, "TRUNCATE", execute=True)
-    return op.stored_row_counts(spark.table(name), all_units)
+    return _rows_left(spark, sf_dir, free, "")
 
 
 @query
 def purge(spark, sf_dir):
-    """Cleanup of a replica that held every shipment; rows left per unit."""
+    """Cleanup of replicas that held every row; rows left per unit."""
     _, cfg, bases, ledger = _replica(spark, sf_dir)
-    old = settle(op.purgeable(ledger, cfg, bases).filter("source_table = 'LINEITEM_ARCH'"), "purgeable")
-    name, all_units, _ = _loaded(spark, sf_dir, "LINEITEM")
-    op.cleanup_units(name, old, "TRUNCATE", execute=True)
-    return op.stored_row_counts(spark.table(name), all_units)
+    return _rows_left(spark, sf_dir, settle(op.purgeable(ledger, cfg, bases), "purgeable"), "_ARCH")
 
 
 def _marked_events(spark, sf_dir):
@@ -653,7 +665,7 @@ def exec_summary(spark, sf_dir):
 
 @query
 def process_summary(spark, sf_dir):
-    return op.process_summary(roles.runs(spark, sf_dir).filter("run_type <> 'ARCHIVE'"), roles.as_of())
+    return op.process_summary(roles.runs(spark, sf_dir), roles.as_of())
 
 
 @query
