@@ -24,6 +24,8 @@ from sliceward.llm import textarrays as T
 
 #: Words of a window.
 WIDTH = 50
+#: Bytes of text in a chunk; a task holds some dozens of bytes per word of it.
+CHUNK_BYTES = 4 << 20
 RESULT = [("kept_text", StringType()), ("n_words", LongType()), ("n_removed", LongType())]
 
 
@@ -37,7 +39,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, carry: bool = False) ->
     returned. Rows with the same doc_id do not remove words from each other, as neither id is smaller; repeats within a
     document stay. Every row of the input gives one row; other columns are not looked at.
     """
-    chunks = C.chunked(docs, carry=carry)
+    chunks = C.chunked(docs, carry=carry, chunk_bytes=CHUNK_BYTES)
     n, block = chunks.n, width // 2
 
     def probes(rows: pa.Table) -> tuple:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are turned into byte-level arrays at once; a longer single text is taken alone.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 512 << 10
 
 
 def utf8(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
