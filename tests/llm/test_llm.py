@@ -463,3 +463,35 @@ def test_digest_queries_have_the_promised_columns(spark):
     assert row.kept_sha256 == hashlib.sha256(b" ".join(text.encode().split())).hexdigest()
     row = QUERIES["op4_simhash_anchors"](spark, "/root/testdata/sf0.001").filter("doc_id = 7").first()
     assert row.fingerprint == format(simhash(sf(spark).filter("doc_id = 7").first().text), "016x")
+
+
+def five_words(text: str | None) -> frozenset:
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def test_near_copies_stage_equals_brute_force(spark):
+    """Five words, similarity 0.8 or more; a chain of near copies, a dense cloud, short and empty texts."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = [r.text for r in sf(spark).collect()]
+    for centre in range(3):
+        own = [f"c{centre}{w}" for w in base]
+        for _ in range(90):
+            texts.append(" ".join(w if rng.random() > 0.012 else f"x{rng.integers(1000)}" for w in own))
+    chain = base
+    for step in range(8):
+        chain = [*chain[:30 * step], *(f"y{step}_{i}" for i in range(25)), *chain[30 * step + 25 :]]
+        texts.append(" ".join(chain))
+    texts += ["", None, " ", "one two", "One  two", "one three"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    part, own = [*range(len(texts))], [five_words(t) for t in texts]
+    for i, j in combinations(range(len(texts)), 2):
+        if part[i] != part[j] and 5 * len(own[i] & own[j]) >= 4 * len(own[i] | own[j]):
+            low, high = sorted((part[i], part[j]))
+            part = [low if p == high else p for p in part]
+    found = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, "")
+    assert found.columns == docs.columns
+    assert sorted(r.doc_id for r in found.collect()) == sorted({*part})
