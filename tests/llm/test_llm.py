@@ -495,3 +495,14 @@ def test_near_copies_stage_equals_brute_force(spark):
     found = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, "")
     assert found.columns == docs.columns
     assert sorted(r.doc_id for r in found.collect()) == sorted({*part})
+
+
+def test_kneser_ney_needs_no_limit_of_ngrams(spark, small_chunks, monkeypatch):
+    """More triples than were once broadcast, one very long trusted text, many chunks and shards, a crowded filter."""
+    docs = sf(spark).unionByName(spark.createDataFrame([(10**6, LONG, "en", "a", 1)], sf(spark).schema))
+    trusted = docs.filter("doc_id % 3 = 1")
+    whole = {r.doc_id: r.perplexity for r in kneser_ney_quality.perplexities(docs, trusted).collect()}
+    monkeypatch.setattr(kneser_ney_quality, "MOST_NGRAMS", 1, raising=False)
+    monkeypatch.setattr(kneser_ney_quality, "FILTER_BYTES", 64, raising=False)
+    found = {r.doc_id: r.perplexity for r in kneser_ney_quality.perplexities(docs, trusted).collect()}
+    assert found == whole and len(found) == docs.count()
