@@ -26,8 +26,8 @@ from sliceward.llm import textarrays as T
 
 #: One in so many documents is held out, by the checksum of its doc_id.
 FOLDS, HELD_OUT = 7, 2
-#: Low bits of an n-gram's hash that are sent; with the shard they tell n-grams apart.
-KEY_BITS = 40
+#: The lowest bit of a key: 1 for words, 0 for bigrams and the start, so that they never share a key.
+WORD = np.uint64(1)
 #: Bins per octave of the estimates, and the rounds of EM.
 BINS, ROUNDS = 8, 200
 BUCKETS = 48
@@ -77,13 +77,16 @@ def score_texts(docs: DataFrame) -> DataFrame:
     the unigrams, score the interpolated model, both as log10 probability. A document is held out if crc32 of its
     doc_id as text leaves 2 modulo 7; all others are learned from. Null and empty texts consist of the end alone.
     A null doc_id counts as an id above 2**62 made from the text. Every row gives one row; repeated rows all count.
-    N-grams are told apart by 40 bits of a hash within their shard: about one in a million shares its counts.
+    N-grams are told apart by 63 bits of a hash, words and bigrams in spaces of their own.
     """
     chunks = C.chunked(docs)
     n = chunks.n
 
+    def shard_of(keys: np.ndarray) -> np.ndarray:
+        return ((keys >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
+
     def grams(rows: pa.Table) -> tuple:
-        """Sorted keys of the chunk's n-grams; per token its unigram, bigram and context among them; text offsets."""
+        """Keys of the chunk's n-grams, sorted by shard; per token its unigram, bigram and context among them; text offsets."""
         raw, offsets = T.utf8(rows["__text"])
         (words,), at = T.word_hashes(raw, offsets, [T.SpanHash(31)], lower=True)
         size = len(at) - 1
@@ -97,10 +100,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
         starts = np.concatenate(([0], ends[:-1]))
         before[starts] = START
         pairs = T.mix(before * np.uint64(0x9E3779B97F4A7C15) + tokens)
-        every = np.concatenate((tokens, pairs, before[starts]))
-        shard = (every >> np.uint64(40)) % np.uint64(n)
-        low = every & np.uint64((1 << KEY_BITS) - 1)
-        known, which = np.unique((shard << np.uint64(KEY_BITS)) | low, return_inverse=True)
+        every = np.concatenate((tokens | WORD, pairs & ~WORD, before[starts] & ~WORD))
+        known, which = np.unique(every, return_inverse=True)
+        order = np.argsort(shard_of(known), kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        known, which = known[order], place[which]
         one, two = which[: len(tokens)], which[len(tokens) : 2 * len(tokens)]
         context = np.empty_like(one)
         context[1:] = one[:-1]
@@ -114,21 +119,15 @@ def score_texts(docs: DataFrame) -> DataFrame:
         total = len(known)
         counts = np.bincount(one[learned], minlength=total) + np.bincount(two[learned], minlength=total)
         counts = counts + np.bincount(begins[~held], minlength=total)
-        unigram = np.zeros(total, np.int64)
-        unigram[one] = 1
-        shard = (known >> np.uint64(KEY_BITS)).astype(np.int64)
-        low = known.view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
-        return P.routed(P.chunk_of(rows), shard, [low], [(counts * 2 + unigram).astype(np.uint64)])
+        return P.routed(P.chunk_of(rows), shard_of(known), [known], [counts.astype(np.uint64)])
 
     def count(table: pa.Table) -> pa.Table:
-        sizes = [len(x.as_py()) * 8 // KEY_BITS for x in table["keys"]]
-        key = np.zeros((sum(sizes), 8), np.uint8)
-        key[:, : KEY_BITS // 8] = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint8).reshape(-1, KEY_BITS // 8)
+        sizes = [len(x.as_py()) // 8 for x in table["keys"]]
+        key = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint64)
         told = np.frombuffer(b"".join(zlib.decompress(x) for x in table["extra"].to_pylist()), np.uint64)
-        known, which = np.unique(key.view(np.uint64)[:, 0], return_inverse=True)
-        totals = np.bincount(which, weights=(told >> np.uint64(1)).astype(np.float64), minlength=len(known)).astype(np.uint64)
-        unigram = np.zeros(len(known), bool)
-        unigram[which[told & np.uint64(1) == 1]] = True
+        known, which = np.unique(key, return_inverse=True)
+        totals = np.bincount(which, weights=told.astype(np.float64), minlength=len(known)).astype(np.uint64)
+        unigram = known & WORD == 1
         answers = P.answered(table, sizes, totals[which])
         summary = np.array([totals[unigram].sum(), (totals[unigram] > 0).sum()], np.uint64).tobytes()
         shard = table["shard"][0].as_py()

@@ -506,3 +506,20 @@ def test_kneser_ney_needs_no_limit_of_ngrams(spark, small_chunks, monkeypatch):
     monkeypatch.setattr(kneser_ney_quality, "FILTER_BYTES", 64, raising=False)
     found = {r.doc_id: r.perplexity for r in kneser_ney_quality.perplexities(docs, trusted).collect()}
     assert found == whole and len(found) == docs.count()
+
+
+def test_a_word_and_a_bigram_with_like_hashes_are_told_apart(spark):
+    """A held-out word agrees with a learned bigram in the low 40 bits of the hash; neither N nor n_known may notice."""
+    from sliceward.llm import textarrays as T
+
+    raw = np.frombuffer(" ".join(f"w{i}" for i in range(3_000_000)).encode(), np.uint8)
+    (words,), _ = T.word_hashes(raw, np.array([0, len(raw)]), [T.SpanHash(31)])
+    pairs, low = T.mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:]), np.uint64((1 << 40) - 1)
+    _, word, pair = np.intersect1d(words & low, pairs & low, return_indices=True)
+    assert len(word)
+    held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
+    learned = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 != 2)
+    rows = [(learned, f"w{pair[0]} w{pair[0] + 1}"), (held, f"w{word[0]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: (r.train_tokens, r.n_known) for r in deleted_interpolation.score_texts(docs).collect()}
+    assert found == {learned: (3, 3), held: (3, 1)}
