@@ -13,6 +13,7 @@ from sliceward.llm.deleted_interpolation import op2_deleted_interpolation
 from sliceward.llm.kneser_ney_quality import op10_kneser_ney_quality
 from sliceward.llm.latent_decontamination import op6_latent_decontamination
 from sliceward.llm.license_scan import OP1_SQL, op1_license_scan
+from sliceward.llm.merge_replay import op11_merge_replay
 from sliceward.llm.pareto_mix import OP8_SQL, op8_pareto_mix
 from sliceward.llm.simhash_anchors import op4_simhash_anchors
 from sliceward.llm.toxicity_pu import op3_toxicity_pu
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pareto_mix": op8_pareto_mix,
     "op9_column_repeats": op9_column_repeats,
     "op10_kneser_ney_quality": op10_kneser_ney_quality,
+    "op11_merge_replay": op11_merge_replay,
 }
 
 ORACLE: dict[str, str] = {
