@@ -15,6 +15,7 @@ from sliceward.llm.latent_decontamination import op6_latent_decontamination
 from sliceward.llm.license_scan import OP1_SQL, op1_license_scan
 from sliceward.llm.merge_replay import op11_merge_replay
 from sliceward.llm.pareto_mix import OP8_SQL, op8_pareto_mix
+from sliceward.llm.rtree_negatives import OP12_SQL, op12_rtree_negatives
 from sliceward.llm.simhash_anchors import op4_simhash_anchors
 from sliceward.llm.toxicity_pu import op3_toxicity_pu
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_column_repeats": op9_column_repeats,
     "op10_kneser_ney_quality": op10_kneser_ney_quality,
     "op11_merge_replay": op11_merge_replay,
+    "op12_rtree_negatives": op12_rtree_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -38,4 +40,5 @@ ORACLE: dict[str, str] = {
     "op7_blockmax_topk": OP7_SQL,
     "op8_pareto_mix": OP8_SQL,
     "op9_column_repeats": OP9_SQL,
+    "op12_rtree_negatives": OP12_SQL,
 }
