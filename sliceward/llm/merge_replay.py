@@ -1,10 +1,10 @@
 """Byte-level BPE: corpus-level merge replay, and decoding.
 
-A corpus has far fewer distinct words (matches of the split pattern) than words. The chunks of the documents send their
-distinct words to shards of the words; a shard replays the merges over all of its words at once. An inverted index
+A corpus has far fewer distinct words (matches of the split pattern) than words. Chunks of documents are stored as
+numbers of their distinct words, and these words go to shards; a shard replays the merges over all of its words at once. An inverted index
 leads from a rank to the places whose token pair has it; the ranks are taken up from the lowest, every place of a rank
 is merged in one step, and only the pairs of the touched neighbours are looked up anew. The ids go back to the chunks,
-which put them together in the order of the text. A word that stands in a third of all documents is one entry per
+which put them together in the order of the text; no text is read or split twice. A word that stands in a third of all documents is one entry per
 chunk and is merged once.
 
 Vocabularies need not come from training: a merge may make a pair of a lower rank than its own. Ranks where that is
@@ -18,25 +18,27 @@ import base64
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from sliceward.llm import chunks as C
-from sliceward.llm import packed as P
+from sliceward.sources.stored import scratch_name, settle
 
 #: Bytes of text whose words go to one shard. Replaying has a fixed cost per shard, so shards are larger than chunks.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 #: Bytes of distinct words that are merged at once, and characters of a text that are split at once; one longer word is
 #: taken alone.
-REPLAY_BYTES, SPLIT_CHARS = 4 << 20, 1 << 20
+REPLAY_BYTES, SPLIT_CHARS = 2 << 20, 1 << 20
+ENTERED_AT_ONCE = 1 << 18
 #: Stands for "no token" beside the ends of words.
-NONE = 1 << 31
+NONE = (1 << 31) - 1
 
 # A place between a word and white space after it: matches of the pattern end there, whatever stands around it.
 _CUT = regex.compile(r"(?<=\S)(?=\s)")
@@ -55,7 +57,7 @@ class Vocabulary:
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.full(len(left), -1)
-        wanted = (left << 32) | right
+        wanted = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.ranks[at], -1)
 
@@ -91,17 +93,17 @@ class Replay:
         self.starts = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
         n = self.n = len(raw)
         of_byte = np.array([vocabulary.of_bytes[bytes([b])] for b in range(256)], np.int64)
-        self.token = np.append(of_byte[raw], NONE)
-        self.after, self.before = np.arange(1, n + 2), np.arange(-1, n)
+        self.token = np.append(of_byte[raw], NONE).astype(np.int32)
+        self.after, self.before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         ends = self.starts[1:][np.diff(self.starts) > 0]
         self.after[ends - 1] = self.after[n] = n
         self.before[ends] = self.before[0] = n
         self.alive = np.ones(n + 1, bool)
-        self.rank = np.full(n + 1, -1)
+        self.rank = np.full(n + 1, -1, np.int32)
         self.index: dict[int, list[np.ndarray]] = {}
         self.due: list[int] = []
-        self._enter(np.arange(n))
-        heapify(self.due)
+        for low in range(0, n, ENTERED_AT_ONCE):
+            self._enter(np.arange(low, min(low + ENTERED_AT_ONCE, n), dtype=np.int32))
 
     def _enter(self, places: np.ndarray) -> None:
         """Look up the pairs at these places and enter them into the index."""
@@ -215,19 +217,44 @@ def split(text: str | None, pattern: regex.Pattern) -> Iterator[list[str]]:
         low = high
 
 
-def _numbered(rows: pa.Table, pattern: regex.Pattern, n: int) -> tuple[list[np.ndarray], list[list[tuple[bytes, int]]]]:
-    """The texts as numbers of words, and per shard the chunk's distinct words with their numbers, sorted."""
-    known, texts = _Numbers(), []
-    for text in rows["__text"]:
-        parts = [np.fromiter(map(known.__getitem__, words), np.int32, len(words)) for words in split(text.as_py(), pattern)]
-        texts.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-    shards: list[list[tuple[bytes, int]]] = [[] for _ in range(n)]
-    for word, number in known.items():
-        raw = word.encode()
-        shards[zlib.crc32(raw) % n].append((raw, number))
-    for entries in shards:
-        entries.sort()
-    return texts, shards
+class _Chunk:
+    """Texts as numbers of their distinct words."""
+
+    def __init__(self) -> None:
+        self.known, self.ids, self.numbers, self.size = _Numbers(), [], [np.zeros(0, np.int32)], 0
+        self.lengths: list[int] = []
+
+    def add(self, doc_id: int, text: str | None, pattern: regex.Pattern) -> None:
+        parts = [np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)) for words in split(text, pattern)]
+        self.ids.append(doc_id)
+        self.lengths.append(sum(map(len, parts)))
+        self.numbers += parts
+        self.size += len(text or "")
+
+    def rows(self, number: int, n: int) -> pa.RecordBatch:
+        """One row of the texts, and one of words for each shard; words keep the order of their numbers."""
+        words = [w.encode() for w in self.known]
+        shard = np.array([zlib.crc32(w) % n for w in words], np.int32)
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
+        each = [[words[i] for i in part.tolist()] for part in np.split(order, cuts[1:])] if len(words) else []
+        texts = [np.array(self.ids, np.int64), np.array(self.lengths, np.int64), np.concatenate(self.numbers), shard]
+        packed = [zlib.compress(x.tobytes(), 1) for x in texts]
+        nothing = [None] * len(each)
+        columns = [
+            pa.array([number] * (len(each) + 1), pa.int64()),
+            pa.array([TEXTS, *shard[order][cuts].tolist()], pa.int32()),
+            pa.array([None, *(zlib.compress(b"".join(w), 1) for w in each)], pa.binary()),
+            pa.array([None, *map(_lengths, each)], pa.binary()),
+            *(pa.array([x, *nothing], pa.binary()) for x in packed),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "shard", "keys", "extra", "ids", "lengths", "numbers", "shards"])
+
+
+CODED = "chunk long, shard int, keys binary, extra binary, ids binary, lengths binary, numbers binary, shards binary"
+ANSWER = "chunk long, shard int, answer binary"
+#: The shard of a chunk's row of texts.
+TEXTS = -1
 
 
 def _lengths(words: list[bytes]) -> bytes:
@@ -255,26 +282,26 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     library. Very long texts are split piece by piece; a task needs some 30 bytes per byte of its longest single word.
     """
     spark = docs.sparkSession
-    chunks = C.chunked(docs)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // SHARD_BYTES))
+    n, buckets = max(1, -(-size // SHARD_BYTES)), min(C.MOST_BUCKETS, max(1, -(-size // C.CHUNK_BYTES)))
     sent = spark.sparkContext.broadcast(vocabulary(path))
 
-    def ask(rows: pa.Table, _) -> pa.Table:
-        _, shards = _numbered(rows, regex.compile(pattern), n)
-        asked = [(s, [w for w, _ in entries]) for s, entries in enumerate(shards) if entries]
-        return pa.table({
-            "chunk": pa.array([P.chunk_of(rows)] * len(asked), pa.int32()),
-            "shard": pa.array([s for s, _ in asked], pa.int32()),
-            "keys": pa.array([zlib.compress(b"".join(words), 1) for _, words in asked], pa.binary()),
-            "extra": pa.array([_lengths(words) for _, words in asked], pa.binary()),
-        })
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter, number, chunk = regex.compile(pattern), TaskContext.get().partitionId() << 32, _Chunk()
+        for batch in batches:
+            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+                chunk.add(doc_id, text.as_py(), splitter)
+                if chunk.size >= C.CHUNK_BYTES:
+                    yield chunk.rows(number, n)
+                    number, chunk = number + 1, _Chunk()
+        if chunk.ids:
+            yield chunk.rows(number, n)
 
     def answer(table: pa.Table) -> pa.Table:
         each = [_words(k.as_py(), x.as_py()) for k, x in zip(table["keys"], table["extra"], strict=True)]
         coded = pa.chunked_array(each, pa.large_binary()).dictionary_encode().unify_dictionaries()
-        distinct = coded.chunk(0).dictionary.to_pylist()
-        ids, counts = merged(distinct, sent.value)
+        del each
+        ids, counts = merged(coded.chunk(0).dictionary.to_pylist(), sent.value)
         starts = np.cumsum(counts, dtype=np.int64) - counts
         made = []
         for part in coded.chunks:
@@ -283,29 +310,41 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             made.append(zlib.compress(np.concatenate((counts[which], own)).tobytes(), 1))
         return pa.table({"chunk": table["chunk"], "shard": table["shard"], "answer": pa.array(made, pa.binary())})
 
-    def put_together(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        texts, shards = _numbered(rows, regex.compile(pattern), n)
-        told = dict(zip(answers["shard"].to_pylist(), answers["answer"], strict=True))
-        total = sum(map(len, shards))
-        starts, counts, ids, at = np.zeros(total, np.int64), np.zeros(total, np.int64), [np.zeros(0, np.uint32)], 0
-        for shard, entries in enumerate(shards):
-            if entries:
-                values = np.frombuffer(zlib.decompress(told[shard].as_py()), np.uint32)
-                numbers = np.array([number for _, number in entries])
-                counts[numbers] = sizes = values[: len(entries)].astype(np.int64)
-                starts[numbers] = np.cumsum(sizes) - sizes + at
-                ids.append(values[len(entries) :])
-                at += len(ids[-1])
-        ids = np.concatenate(ids)
-        found = [gathered(ids, starts[text], counts[text]) for text in texts]
+    def put_together(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        row = texts.to_pylist()[0]
+        doc_ids, lengths, numbers, shards = (
+            np.frombuffer(zlib.decompress(row[c]), t) for c, t in (("ids", "i8"), ("lengths", "i8"), ("numbers", "i4"), ("shards", "i4"))
+        )
+        order = np.argsort(shards, kind="stable")
+        held = np.bincount(shards, minlength=n)
+        counts, ids = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+        for shard, told in sorted(zip(answers["shard"].to_pylist(), answers["answer"].to_pylist(), strict=True) if len(order) else []):
+            values = np.frombuffer(zlib.decompress(told), np.uint32)
+            counts.append(values[: held[shard]])
+            ids.append(values[held[shard] :])
+        ids, sizes = np.concatenate(ids), np.empty(len(order), np.int64)
+        sizes[order] = np.concatenate(counts)
+        starts = np.empty(len(order), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        made, cuts = [], np.concatenate(([0], np.cumsum(lengths)))
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            own = numbers[low:high]
+            made.append(gathered(ids, starts[own], sizes[own]).astype("<u4").tobytes())
         return pa.table({
-            "doc_id": rows["__id"],
-            "n_tokens": pa.array([len(x) for x in found], pa.int64()),
-            "ids": pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()),
+            "doc_id": pa.array(doc_ids),
+            "n_tokens": pa.array([len(x) // 4 for x in made], pa.int64()),
+            "ids": pa.array(made, pa.binary()),
         })
 
-    answers = C.ask(chunks, ask, answer)
-    return C.both(chunks, answers, put_together, "doc_id long, n_tokens long, ids binary")
+    name = scratch_name(spark, "coded")
+    coded = docs.select(C.key_of(docs).alias("id"), "text").mapInArrow(code, CODED)
+    coded.write.format("parquet").bucketBy(buckets, "chunk").saveAsTable(name)
+    coded = spark.table(name)
+    asked = coded.filter(F.col("shard") != TEXTS).select("chunk", "shard", "keys", "extra")
+    answers = settle(asked.repartition(n, "shard").groupBy("shard").applyInArrow(answer, ANSWER), "answers")
+    texts = coded.filter(F.col("shard") == TEXTS).select("chunk", "ids", "lengths", "numbers", "shards")
+    both = texts.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return both.applyInArrow(put_together, "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -17,6 +17,7 @@ from sliceward.llm.merge_replay import op11_merge_replay
 from sliceward.llm.pareto_mix import OP8_SQL, op8_pareto_mix
 from sliceward.llm.rtree_negatives import OP12_SQL, op12_rtree_negatives
 from sliceward.llm.simhash_anchors import op4_simhash_anchors
+from sliceward.llm.spectral_whitening import op13_spectral_whitening
 from sliceward.llm.toxicity_pu import op3_toxicity_pu
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_kneser_ney_quality": op10_kneser_ney_quality,
     "op11_merge_replay": op11_merge_replay,
     "op12_rtree_negatives": op12_rtree_negatives,
+    "op13_spectral_whitening": op13_spectral_whitening,
 }
 
 ORACLE: dict[str, str] = {

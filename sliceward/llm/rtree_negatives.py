@@ -195,6 +195,8 @@ def best_in_tree(
     up, down = np.maximum(a, 0), np.minimum(a, 0)
     upper = (up @ box_high.T + down @ box_low.T).astype(object if x.dtype == object else np.int64)
     lower = (up @ box_low.T + down @ box_high.T).astype(upper.dtype)
+    if upper.dtype == object and upper.size and (upper.max() >= -LEAST or lower.min() <= LEAST):
+        raise OverflowError("scores may not fit a long")
     base = 1 << 13
     top = np.full((*low.shape, k), LEAST, upper.dtype)
     least = low.astype(upper.dtype)
@@ -268,8 +270,6 @@ def searched(index: DataFrame, wide: int, sent, same: bool, k: int) -> DataFrame
                     some = mine[at : at + ANCHORS_AT_ONCE]
                     floor = np.maximum(np.maximum(low[some], least[some]), scores[some].min(axis=2))
                     more = best_in_tree(tree, x[some], own[some], floor, high[some], k)
-                    if more[1].dtype == object and (np.abs(more[1]) >= 1 << 62).any():
-                        raise OverflowError("a score does not fit a long")
                     joined = (np.concatenate((ids[some], more[0]), axis=2), np.concatenate((scores[some], more[1].astype(np.int64)), axis=2))
                     ids[some], scores[some] = best_of(*joined, k)
         anchor, window, place = np.nonzero(scores > LEAST)
@@ -328,7 +328,7 @@ def mine(
     as longs; by default 30 to 90 percent of its score). Higher scores come first, equal ones by smaller vec_id. A
     positive without negatives has no rows, so a negative positive score has none, and an empty table gives none. Which
     rows take part and how nulls, repeated ids and lengths count: see ``integers``. Other columns are not read. Scores
-    are exact; one that does not fit a long is an error.
+    are exact; where a bound of them does not fit 62 bits there is an error.
     """
     rows = settle(integers(vectors, relabel), "vectors")
     index, wide = build(rows)
