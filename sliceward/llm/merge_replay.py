@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from sliceward.llm import chunks as C
-from sliceward.sources.stored import scratch_name, settle
+from sliceward.sources.stored import scratch_name
 
 #: Bytes of text whose words go to one shard. Replaying has a fixed cost per shard, so shards are larger than chunks.
 SHARD_BYTES = 32 << 20
@@ -239,7 +239,7 @@ class _Chunk:
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
         each = [[words[i] for i in part.tolist()] for part in np.split(order, cuts[1:])] if len(words) else []
         texts = [np.array(self.ids, np.int64), np.array(self.lengths, np.int64), np.concatenate(self.numbers), shard]
-        packed = [zlib.compress(x.tobytes(), 1) for x in texts]
+        packed = [_packed(x) for x in texts]
         nothing = [None] * len(each)
         columns = [
             pa.array([number] * (len(each) + 1), pa.int64()),
@@ -257,6 +257,16 @@ ANSWER = "chunk long, shard int, answer binary"
 TEXTS = -1
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Deflated with first all lowest bytes, then all second ones and so on."""
+    return zlib.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1)
+
+
+def _unpacked(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(size, -1).T).view(kind)[:, 0]
+
+
 def _lengths(words: list[bytes]) -> bytes:
     return zlib.compress(np.array([len(w) for w in words], np.uint32).tobytes(), 1)
 
@@ -272,8 +282,9 @@ def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
     return values[np.repeat(starts - at, sizes) + np.arange(int(sizes.sum()))]
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of every whole text.
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of every whole text; if wanted, what they stand
+    for as the column decoded.
 
     path: ranks, pattern: what splits a text before the merges; both are read on the driver and sent to the tasks.
     Special tokens are ordinary text. Null and empty texts have no ids. Every row gives one row, repeated rows too; a
@@ -313,7 +324,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def put_together(texts: pa.Table, answers: pa.Table) -> pa.Table:
         row = texts.to_pylist()[0]
         doc_ids, lengths, numbers, shards = (
-            np.frombuffer(zlib.decompress(row[c]), t) for c, t in (("ids", "i8"), ("lengths", "i8"), ("numbers", "i4"), ("shards", "i4"))
+            _unpacked(row[c], t) for c, t in (("ids", "i8"), ("lengths", "i8"), ("numbers", "i4"), ("shards", "i4"))
         )
         order = np.argsort(shards, kind="stable")
         held = np.bincount(shards, minlength=n)
@@ -330,21 +341,29 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             own = numbers[low:high]
             made.append(gathered(ids, starts[own], sizes[own]).astype("<u4").tobytes())
-        return pa.table({
+        out = {
             "doc_id": pa.array(doc_ids),
             "n_tokens": pa.array([len(x) // 4 for x in made], pa.int64()),
             "ids": pa.array(made, pa.binary()),
-        })
+        }
+        return pa.table(out | ({"decoded": pa.array([_text(x, sent.value.tokens) for x in made], pa.binary())} if decoded else {}))
 
     name = scratch_name(spark, "coded")
     coded = docs.select(C.key_of(docs).alias("id"), "text").mapInArrow(code, CODED)
     coded.write.format("parquet").bucketBy(buckets, "chunk").saveAsTable(name)
     coded = spark.table(name)
     asked = coded.filter(F.col("shard") != TEXTS).select("chunk", "shard", "keys", "extra")
-    answers = settle(asked.repartition(n, "shard").groupBy("shard").applyInArrow(answer, ANSWER), "answers")
+    answers = asked.repartition(n, "shard").groupBy("shard").applyInArrow(answer, ANSWER)
     texts = coded.filter(F.col("shard") == TEXTS).select("chunk", "ids", "lengths", "numbers", "shards")
     both = texts.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return both.applyInArrow(put_together, "doc_id long, n_tokens long, ids binary")
+    return both.applyInArrow(put_together, "doc_id long, n_tokens long, ids binary" + ", decoded binary" * decoded)
+
+
+def _text(ids: bytes, tokens: list[bytes]) -> bytes:
+    each = [tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]
+    if not all(each):
+        raise ValueError("an id has no token")
+    return b"".join(each)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -358,13 +377,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = sent.value
         for batch in batches:
-            made = []
-            for ids in batch.column("ids"):
-                raw = ids.as_py()
-                each = None if raw is None else [tokens[i] for i in np.frombuffer(raw, "<u4").tolist()]
-                if each and not all(each):
-                    raise ValueError("an id has no token")
-                made.append(None if each is None else b"".join(each))
+            made = [_text(ids.as_py(), tokens) if ids.is_valid else None for ids in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(texts, schema)
@@ -375,5 +388,5 @@ def op11_merge_replay(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    made = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.PATTERN), path)
+    made = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.PATTERN, decoded=True)
     return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -339,7 +339,8 @@ def mine(
 
     def percent(score: Column) -> tuple[Column, Column]:
         """Smallest and largest integer within; a negative score has none."""
-        least, most = (F.call_function("div", score * p + more, F.lit(100)) for p, more in ((LOWEST, 99), (HIGHEST, 0)))
+        wide = score.cast("decimal(20,0)")
+        least, most = (F.call_function("div", wide * p + more, F.lit(100)) for p, more in ((LOWEST, 99), (HIGHEST, 0)))
         return F.when(score < 0, 1).otherwise(least), F.when(score < 0, 0).otherwise(most)
 
     low, high = (window or percent)(F.col("near"))

@@ -114,6 +114,6 @@ def test_nothing_to_whiten(spark):
 
 
 def test_deviation_beyond_a_long_is_null():
-    x = np.array([[100_000, 100_000], [3_000_000_000, 100_000]])
+    x = np.array([[100_000, 100_000], [4_000_000_000, 100_000]])
     assert S.deviations(2, x, x.sum(axis=0)).to_pylist() == [None, None]
     assert S.deviations(1, x[:1], x[0]).to_pylist() == [0]
