@@ -1,69 +1,154 @@
 """Which unit a row belongs to.
 
-Bounds are whole days, so "low <= key < high and value in list" is an equi-join: every unit is written out
-as its (day, list value) pairs and rows are matched on those. The pairs are few (calendar days times list
-values), whatever the number of rows. Their size is worked out from the units before they are broadcast.
+Bounds are whole days, so "low <= key < high and value in list" is an equi-join on calendar cells: a block of years, a
+year, a month or a day that no bound cuts. Every day lies in exactly one cell, every unit is a whole number of cells, and
+rows are matched on (cell, list value). A unit of two centuries is some blocks and years, a month is one cell, and only
+months that a bound cuts are written out as days. The pairs are few, whatever the number of rows, and their size is
+worked out from the units before they are broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date, timedelta
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from sliceward.schema import HIGH_VALUES
 
-# Above this size the (day, value) pairs are shuffled to the rows instead of broadcast.
+# Above this size the (cell, value) pairs are shuffled to the rows instead of broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _PAIR_OVERHEAD = 64
 
-_DAY, _VALUE = "__unit_day", "__unit_value"
+_CELL, _VALUE = "__unit_cell", "__unit_value"
 _EPOCH = date(1970, 1, 1)
+#: Years of the largest cell.
+_BLOCK = 16
 
 
 def unit_extent(units: DataFrame) -> Row:
-    """First and last declared bound, size of the pairs and open ends of the units, as one row of scalars."""
+    """First and last declared bound, open ends, the calendar periods that bounds cut and the size of the pairs, as one
+    row of scalars."""
     low, high = F.unix_date("low"), F.unix_date("high")
-    values = F.coalesce(F.size("list_values"), F.lit(1))
-    days = F.greatest(F.coalesce(high - low, F.lit(2)), F.lit(0)).cast("long")
+    cut = {
+        f"{name}_{end}": F.collect_set(F.when(F.col(end) != start(F.col(end)), period(F.col(end))))
+        for end in ("low", "high")
+        for name, period, start in (
+            ("blocks", _block, lambda d: F.make_date(_block(d) * _BLOCK, F.lit(1), F.lit(1))),
+            ("years", F.year, lambda d: F.make_date(F.year(d), F.lit(1), F.lit(1))),
+            ("months", _month, lambda d: F.make_date(F.year(d), F.month(d), F.lit(1))),
+        )
+    }
     # A value is never longer than the text of its list.
     width = F.length("partition_hv") + F.length("subpartition_hv") * 2 + F.lit(_PAIR_OVERHEAD)
-    return (
+    extent = (
         units.agg(
             F.min(F.coalesce(F.least(low, high), low, high)).alias("first"),
             F.max(F.coalesce(F.greatest(low, high), low, high)).alias("last"),
-            F.sum(days * values * width).alias("pair_bytes"),
             F.count(F.when(F.col("low").isNull(), 1)).alias("open_low"),
             F.count(F.when(F.col("high").isNull(), 1)).alias("open_high"),
             F.count(F.when(F.col("list_values").isNull(), 1)).alias("whole"),
             F.count("list_values").alias("listed"),
+            F.size(F.array_distinct(F.flatten(F.collect_set("list_values")))).alias("values"),
+            F.max(width).alias("width"),
             F.min("partition_hv").alias("first_hv"),
             F.max("partition_hv").alias("last_hv"),
+            *[column.alias(name) for name, column in cut.items()],
         )
     ).first()
+    pair_bytes = Calendar.of(extent).most_cells() * max(extent["values"] or 0, 1) * (extent["width"] or 0)
+    return Row(**extent.asDict(), pair_bytes=pair_bytes)
+
+
+def _block(day: Column) -> Column:
+    return F.floor(F.year(day) / _BLOCK).cast("int")
+
+
+def _month(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+@dataclass(frozen=True)
+class Calendar:
+    """The days from ``first`` to ``last`` in cells; blocks, years and months are those that a bound cuts."""
+
+    first: int
+    last: int
+    blocks: frozenset[int]
+    years: frozenset[int]
+    months: frozenset[int]
+
+    @classmethod
+    def of(cls, extent: Row) -> Calendar:
+        """Open ends reach one day beyond the declared bounds; these two days are bounds as well."""
+        first = (extent["first"] if extent["first"] is not None else 0) - 1
+        last = extent["last"] if extent["last"] is not None else 0
+        cut = [{*extent[f"{name}_low"], *extent[f"{name}_high"]} for name in ("blocks", "years", "months")]
+        for bound in (first, last + 1):
+            month = int(np.datetime64(bound, "D").astype("datetime64[M]").astype(int)) + 1970 * 12
+            starts = bound == int(np.datetime64(month - 1970 * 12, "M").astype("datetime64[D]").astype(int))
+            year = month // 12
+            if not starts:
+                cut[2].add(month)
+            if not starts or month % 12:
+                cut[1].add(year)
+            if not starts or month % (12 * _BLOCK):
+                cut[0].add(year // _BLOCK)
+        return cls(first, last, *map(frozenset, cut))
+
+    def most_cells(self) -> int:
+        """Not fewer than the cells there are: each cut period is written out as its parts."""
+        return (self.last - self.first) // (365 * _BLOCK) + 2 + _BLOCK * len(self.blocks) + 12 * len(self.years) + 31 * len(self.months)
+
+    def cell(self, day: Column) -> Column:
+        """The cell of a day, given as days since the epoch; days outside count as the nearest one inside."""
+        at = F.date_from_unix_date(F.greatest(F.least(day, F.lit(self.last)), F.lit(self.first)))
+        return (
+            F.when(~_block(at).isin(self.blocks), _block(at) * 4)
+            .when(~F.year(at).isin(self.years), F.year(at) * 4 + 1)
+            .when(~_month(at).isin(self.months), _month(at) * 4 + 2)
+            .otherwise(F.unix_date(at) * 4 + 3)
+        )
+
+    def cells(self, spans: DataFrame) -> DataFrame:
+        """A row for each cell between the days ``lo`` and ``hi``, the latter left out."""
+        low, high = F.date_from_unix_date("lo"), F.date_from_unix_date(F.col("hi") - 1)
+        nothing = F.array(F.lit(None).cast("int"))
+
+        def month_start(month: Column) -> Column:
+            return F.unix_date(F.make_date(F.floor(month / 12).cast("int"), F.pmod(month, F.lit(12)) + 1, F.lit(1)))
 
+        def parts(period: str, cut: frozenset[int], start: Column, end: Column, low: Column, high: Column) -> Column:
+            inside = F.sequence(F.greatest(start, low), F.least(end, high))
+            return F.explode(F.when(F.col(period).isin(cut), inside).otherwise(nothing))
 
-def _unit_pairs(units: DataFrame, first: int, last: int, by_list: bool) -> DataFrame:
-    """One row per (day, list value) of every unit.
+        b, y, m = F.col("__b"), F.col("__y"), F.col("__m")
+        spans = spans.withColumn("__b", F.explode(F.sequence(_block(low), _block(high))))
+        spans = spans.withColumn("__y", parts("__b", self.blocks, b * _BLOCK, b * _BLOCK + _BLOCK - 1, F.year(low), F.year(high)))
+        spans = spans.withColumn("__m", parts("__y", self.years, y * 12, y * 12 + 11, _month(low), _month(high)))
+        spans = spans.withColumn("__d", parts("__m", self.months, month_start(m), month_start(m + 1) - 1, F.col("lo"), F.col("hi") - 1))
+        return spans.withColumn(_CELL, F.coalesce(F.col("__d") * 4 + 3, m * 4 + 2, y * 4 + 1, b * 4))
 
-    Open ends reach one day beyond the declared bounds; rows are clamped to the same days. Where two units
-    claim a day, the one with the lower high bound keeps it: a row lies in the first range above its key.
+
+def unit_cells(units: DataFrame, calendar: Calendar, by_list: bool) -> DataFrame:
+    """One row per (cell, list value) of every unit.
+
+    Where two units claim a day, the one with the lower high bound keeps it: a row lies in the first range above its key.
     """
     value = F.explode("list_values") if by_list else F.lit("")
     spans = units.select(
         *HIGH_VALUES,
         value.alias(_VALUE),
-        F.coalesce(F.unix_date("low"), F.lit(first - 1)).alias("lo"),
-        F.coalesce(F.unix_date("high"), F.lit(last + 1)).alias("hi"),
+        F.coalesce(F.unix_date("low"), F.lit(calendar.first)).alias("lo"),
+        F.coalesce(F.unix_date("high"), F.lit(calendar.last + 1)).alias("hi"),
     )
     along = Window.partitionBy(_VALUE).orderBy("hi")
     taken = F.lag("hi").over(along)
     spans = spans.withColumn("lo", F.greatest(F.col("lo"), F.coalesce(taken, F.col("lo"))))
-    days = F.when(F.col("lo") < F.col("hi"), F.sequence(F.col("lo"), F.col("hi") - 1))
-    pairs = spans.select(*HIGH_VALUES, _VALUE, F.explode(days).alias(_DAY))
-    return pairs if by_list else pairs.drop(_VALUE)
+    return calendar.cells(spans.filter("lo < hi")).select(*HIGH_VALUES, *([_VALUE] if by_list else []), _CELL)
 
 
 def within_extent(df: DataFrame, key: str, extent: Row) -> DataFrame:
@@ -116,22 +201,19 @@ def assign_units(
         raise ValueError("a list value is required for every subpartition unit")
     if not by_list and extent["listed"]:
         raise ValueError("subpartition units need the list column")
-    first = extent["first"] if extent["first"] is not None else 0
-    last = extent["last"] if extent["last"] is not None else 0
-
-    pairs = _unit_pairs(units, first, last, by_list)
-    if (extent["pair_bytes"] or 0) <= broadcast_bytes:
+    calendar = Calendar.of(extent)
+    pairs = unit_cells(units, calendar, by_list)
+    if extent["pair_bytes"] <= broadcast_bytes:
         pairs = F.broadcast(pairs)
 
-    day = F.greatest(F.least(F.unix_date(F.to_date(key)), F.lit(last)), F.lit(first - 1))
     rows = df if outside else within_extent(source_of_units(df, units, extent), key, extent)
-    rows = rows.withColumn(_DAY, day)
-    match = rows[_DAY] == pairs[_DAY]
+    rows = rows.withColumn(_CELL, calendar.cell(F.unix_date(F.to_date(key))))
+    match = rows[_CELL] == pairs[_CELL]
     if by_list:
         match = match & (rows[list_col] == pairs[_VALUE])
     if outside:
-        return rows.join(pairs, match, "left_anti").drop(_DAY)
-    return rows.join(pairs, match).drop(pairs[_DAY]).drop(_DAY, _VALUE)
+        return rows.join(pairs, match, "left_anti").drop(_CELL)
+    return rows.join(pairs, match).drop(pairs[_CELL]).drop(_CELL, _VALUE)
 
 
 def unit_predicate(unit: Mapping, key: str, list_col: str | None = None) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sliceward import operators as op
 from sliceward.functions import high_value_date, list_text, list_values, partition_hv, summary_cell
-from sliceward.operators.assign import unit_extent
+from sliceward.operators.assign import Calendar, unit_cells, unit_extent
 from sliceward.schema import HIGH_VALUES
 from sliceward.sources import settle
 from tests import fixtures as fx
@@ -203,6 +203,23 @@ def test_no_nested_loop_and_pushed_filter(spark):
     assert "l_comment" not in text and "l_tax" not in text
 
 
+def test_long_spans_are_few_cells(spark):
+    """Two centuries below the data add fewer pairs than the data has months, and a day is still told from the next."""
+    bounds = ["1800-01-01", *(f"{y}-{m:02}-01" for y in range(1992, 1999) for m in range(1, 13)), "1999-01-18"]
+    units = spark.createDataFrame([(b, "#", low, b) for low, b in zip([None, *bounds], bounds)], "partition_hv string, subpartition_hv string, low string, high string")
+    units = settle(units.withColumns({c: F.col(c).cast("date") for c in ("low", "high")}).withColumn("list_values", F.lit(None).cast("array<string>")))
+    calendar = Calendar.of(unit_extent(units))
+    cells = unit_cells(units, calendar, False)
+    per_unit = {r["partition_hv"]: r["count"] for r in cells.groupBy("partition_hv").count().collect()}
+    assert per_unit["1992-01-01"] < 7 * 12 and per_unit["1995-06-01"] == 1 and sum(per_unit.values()) <= calendar.most_cells()
+    assert cells.groupBy("__unit_cell").count().filter("count > 1").isEmpty()
+    days = spark.createDataFrame([("1700-02-28",), ("1799-12-31",), ("1800-01-01",), ("1991-12-31",), ("1992-01-01",), ("1999-01-17",), ("1999-01-18",), (None,)], "day string").select(F.col("day").cast("date"))
+    assigned = op.assign_units(days, units, "day")
+    found = {str(r["day"]): r["partition_hv"] for r in assigned.collect()}
+    assert found == {"1700-02-28": "1800-01-01", "1799-12-31": "1800-01-01", "1800-01-01": "1992-01-01", "1991-12-31": "1992-01-01", "1992-01-01": "1992-02-01", "1999-01-17": "1999-01-18"}
+    assert "NestedLoop" not in assigned._jdf.queryExecution().toString()
+
+
 def test_slice_needs_bounds(spark):
     rows = days(spark)
     unit = {"low": None, "high": date(2024, 1, 10), "list_values": ["a"]}
