@@ -99,6 +99,8 @@ ledger AS (
   FROM loaded
 )"""
 
+# The day below which units count as early.
+_EARLY = "(CASE WHEN u.source_table = 'EVENTS' THEN DATE '2024-01-15' ELSE DATE '1998-01-01' END)"
 _KEY = "source_link, source_owner, source_table, partition_hv, subpartition_hv"
 _DATES = "CAST(low AS VARCHAR) AS low, CAST(high AS VARCHAR) AS high"
 _UNIT = f"{_KEY}, partition_name, subpartition_name, unit_type, {_DATES}, array_to_string(lst, ',') AS list_values"
@@ -293,19 +295,28 @@ SELECT o_orderkey, o_custkey, strftime(o_orderdate, {_MICROS}) AS o_orderdate
 FROM orders WHERE EXISTS (
   SELECT 1 FROM units u WHERE u.source_table = 'ORDERS' AND u.high IS NOT NULL AND u.position % 2 = 0
      AND (u.low IS NULL OR o_orderdate >= u.low) AND o_orderdate < u.high)""",
-    "clustered_write": f"""WITH {_UNITS}
-SELECT partition_hv, subpartition_hv, count(*) AS n, min(l_partkey) AS first_part, max(l_partkey) AS last_part,
+    "clustered_write": f"""WITH {_UNITS},
+keyed AS (
+  SELECT 'ORDERS' AS source_table, CAST(o_orderdate AS DATE) AS d, CAST(NULL AS VARCHAR) AS v, CAST(o_custkey AS BIGINT) AS k FROM orders
+  UNION ALL SELECT 'LINEITEM', CAST(l_shipdate AS DATE), l_returnflag, l_partkey FROM lineitem
+  UNION ALL SELECT 'EVENTS', CAST(ts AS DATE), event_type, user_id FROM events
+)
+SELECT source_table, partition_hv, subpartition_hv, count(*) AS n, min(k) AS first_key, max(k) AS last_key,
        0::BIGINT AS files_overlap
-FROM lineitem JOIN units u
-  ON u.source_table = 'LINEITEM' AND (u.low IS NULL OR l_shipdate >= u.low)
- AND (u.high IS NULL OR l_shipdate < u.high) AND list_contains(u.lst, l_returnflag)
-GROUP BY partition_hv, subpartition_hv""",
-    "swap_units": f"""WITH {_UNITS}
-SELECT source_link, source_owner, source_table, partition_hv, subpartition_hv, count(o_orderkey) AS n
-FROM units u LEFT JOIN orders
-  ON (u.low IS NULL OR o_orderdate >= u.low) AND (u.high IS NULL OR o_orderdate < u.high)
- AND (u.high <= DATE '1998-01-01' OR (year(o_orderdate) <> 1998 AND o_orderkey % 3 <> 0))
-WHERE u.source_table = 'ORDERS'
+FROM keyed JOIN units u USING (source_table)
+WHERE (u.low IS NULL OR d >= u.low) AND (u.high IS NULL OR d < u.high) AND (u.lst IS NULL OR list_contains(u.lst, v))
+GROUP BY ALL""",
+    "swap_units": f"""WITH {_UNITS},
+marked AS (
+  SELECT 'ORDERS' AS source_table, CAST(o_orderdate AS DATE) AS d, CAST(NULL AS VARCHAR) AS v,
+         year(o_orderdate) <> 1998 AND o_orderkey % 3 <> 0 AS kept FROM orders
+  UNION ALL SELECT 'LINEITEM', CAST(l_shipdate AS DATE), l_returnflag, year(l_shipdate) <> 1998 AND l_orderkey % 3 <> 0 FROM lineitem
+  UNION ALL SELECT 'EVENTS', CAST(ts AS DATE), event_type, day(ts) <> 20 AND event_id % 3 <> 0 FROM events
+)
+SELECT source_link, source_owner, u.source_table, partition_hv, subpartition_hv, count(m.d) AS n
+FROM units u LEFT JOIN marked m
+  ON m.source_table = u.source_table AND (u.low IS NULL OR m.d >= u.low) AND (u.high IS NULL OR m.d < u.high)
+ AND (u.lst IS NULL OR list_contains(u.lst, m.v)) AND (u.high <= {_EARLY} OR m.kept)
 GROUP BY ALL""",
     "append_state": f"""SELECT run_type, run_status, count(*) AS n FROM (
   SELECT lower({_TYPE}) AS run_type, 'RUNNING' AS run_status FROM events
@@ -320,7 +331,7 @@ SELECT source_table, CAST(d AS VARCHAR) AS day, coalesce(v, '#') AS list_value,
 FROM facts GROUP BY ALL""",
     "reconcile_recorded": f"""WITH {_LEDGER}
 SELECT {_KEY}, source_rows, target_rows, quality_status, error_message
-FROM ledger WHERE source_table = 'LINEITEM' AND archive_status = 'Y'""",
+FROM ledger WHERE archive_status = 'Y'""",
     "reconcile_recounted": f"""WITH {_COUNTS}
 SELECT {_KEY}, n AS source_rows, kept AS target_rows, CASE WHEN n = kept THEN 'Y' ELSE 'N' END AS quality_status,
        CASE WHEN n <> kept THEN 'Source row count does not match target row count' END AS error_message
@@ -464,15 +475,30 @@ FROM replica r JOIN counts c ON c.source_table || '_ARCH' = r.source_table
 WHERE replica_status = 'N' AND high > cutoff_date""",
     "cleanup_units": f"""WITH {_COUNTS},
 held AS (
-  SELECT partition_hv, n, coalesce(high <= DATE '1998-01-01', FALSE) AS early
-  FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv) WHERE source_table = 'ORDERS'
+  SELECT u.source_table, partition_hv, subpartition_hv, n, coalesce(high <= {_EARLY}, FALSE) AS early
+  FROM units u JOIN counts USING (source_table, partition_hv, subpartition_hv)
+),
+left_over AS (
+  SELECT source_table, count(*) FILTER (WHERE n > 0 AND NOT early) AS dropped, count(*) FILTER (WHERE n > 0 OR early) AS emptied
+  FROM held GROUP BY source_table
 )
-SELECT cleanup_mode, partition_hv, CASE WHEN early THEN 0 ELSE n END AS n,
-       CASE WHEN cleanup_mode = 'DROP' THEN (SELECT count(*) FROM held WHERE n > 0 AND NOT early)
-            ELSE (SELECT count(*) FROM held WHERE n > 0 OR early) END AS partitions_kept
-FROM held, (VALUES ('TRUNCATE'), ('DELETE'), ('DROP')) AS m(cleanup_mode)""",
-    "rows_outside": f"""SELECT o_orderkey, strftime(o_orderdate, {_MICROS}) AS o_orderdate
-FROM orders WHERE o_orderdate >= DATE '1998-01-01'""",
+SELECT source_table, cleanup_mode, partition_hv, subpartition_hv, CASE WHEN early THEN 0 ELSE n END AS n,
+       CASE WHEN cleanup_mode = 'DROP' THEN dropped ELSE emptied END AS partitions_kept
+FROM held JOIN left_over USING (source_table), (VALUES ('TRUNCATE'), ('DELETE'), ('DROP')) AS m(cleanup_mode)""",
+    "rows_outside": f"""SELECT 'ORDERS' AS source_table, CAST(o_orderkey AS VARCHAR) AS row_key, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day
+FROM orders WHERE o_orderdate >= DATE '1998-01-01'
+UNION ALL SELECT 'LINEITEM', l_orderkey || '-' || l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR)
+FROM lineitem WHERE l_shipdate >= DATE '1998-01-01'
+UNION ALL SELECT 'EVENTS', CAST(event_id AS VARCHAR), CAST(CAST(ts AS DATE) AS VARCHAR)
+FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15'""",
+    "truncate_flat_source": f"""WITH {_COUNTS}
+SELECT {_KEY}, CASE WHEN position % 2 = 0 THEN 0 ELSE n END AS rows_left, CASE WHEN position % 2 = 0 THEN n END AS rows_removed
+FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv)""",
+    "business_dates": """SELECT * FROM (VALUES
+  ('ORDERS', '2001-06-01', 'ROWS'),
+  ('LINEITEM', (SELECT CAST(CAST(max(l_shipdate) AS DATE) - 30 AS VARCHAR) FROM lineitem), 'ROWS'),
+  ('EVENTS', NULL, 'EMPTY'), ('PARTS', NULL, 'FAILED'), ('SUPPLIERS', NULL, 'EMPTY')
+) AS t(source_table, last_business_date, business_date_state)""",
     "truncate_source": _held("(SELECT * FROM cleanable WHERE preserve_date IS NULL)", _CLEANABLE),
     "purge": _held("(SELECT * FROM replica WHERE replica_status = 'Y' AND high <= cutoff_date)", _REPLICA, suffix="_ARCH"),
     "mark_units": f"""WITH {_COUNTS},
@@ -496,6 +522,14 @@ SELECT {_KEY}, 'ARCHIVE' AS target_owner, source_table || '_ARCH' AS target_tabl
        n AS source_rows, CASE WHEN n % 4 = 0 THEN n + 1 ELSE n END AS target_rows,
        CAST(CASE WHEN n % 4 = 0 THEN 5 WHEN n % 2 = 1 THEN 4 ELSE 3 END AS BIGINT) AS last_run_id,
        CASE WHEN n % 2 = 1 THEN 'load was cut off' END AS error_message
+FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv) WHERE high IS NOT NULL""",
+    "compact_state": f"""WITH {_COUNTS}
+SELECT {_KEY}, 'ARCHIVE' AS target_owner, source_table || '_ARCH' AS target_table, {_DATES}, unit_type,
+       CASE WHEN n % 2 = 1 THEN 'N' ELSE 'Y' END AS archive_status,
+       CASE WHEN n % 4 = 0 THEN 'N' ELSE 'Y' END AS quality_status, 'N' AS truncate_status,
+       n AS source_rows, CASE WHEN n % 4 = 0 THEN n + 1 ELSE n END AS target_rows,
+       CAST(CASE WHEN n % 4 = 0 THEN 5 WHEN n % 2 = 1 THEN 4 ELSE 3 END AS BIGINT) AS last_run_id,
+       CASE WHEN n % 2 = 1 THEN 'load was cut off' END AS error_message, 1 AS batches
 FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv) WHERE high IS NOT NULL""",
     "run_archive": f"""WITH {_RUN}
 SELECT {_KEY}, CASE WHEN closed THEN 'Y' ELSE 'N' END AS archive_status,

@@ -17,6 +17,7 @@ from sliceward.plans import ArchiveLifecycle, Binding, ReplicaLifecycle
 from sliceward.schema import ARCHIVE, HIGH_VALUES, REPLICA, SOURCE, TARGET, UNIT_KEY
 from sliceward.sources import SourceSpec, for_each_table, scratch_database, scratch_name, settle
 from sliceward.sources import append_state as _append
+from sliceward.sources import compact_state as _compact
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -125,34 +126,61 @@ def _loaded(spark, sf_dir, source, rows=None, units=None, cluster_by=()):
     return name, units, counts
 
 
+CLUSTER_BY = {"ORDERS": ("o_custkey", "o_orderdate"), "LINEITEM": ("l_partkey", "l_shipdate"), "EVENTS": ("user_id", "ts")}
+
+
+def clustered(spark, sf_dir, sources=tuple(SOURCES)):
+    """What clustered loads hold per unit, and how many files reach into another of their unit."""
+
+    def of_source(source):
+        first = CLUSTER_BY[source][0]
+        name, _, _ = _loaded(spark, sf_dir, source, cluster_by=CLUSTER_BY[source])
+        ends = [F.count(F.lit(1)).alias("n"), F.min(first).alias("first_key"), F.max(first).alias("last_key")]
+        files = spark.table(name).groupBy(*HIGH_VALUES, F.col("_metadata.file_path").alias("file")).agg(*ends)
+        before = F.lag("last_key").over(Window.partitionBy(*HIGH_VALUES).orderBy("first_key", "last_key"))
+        return (
+            files.withColumn("overlaps", F.coalesce(F.col("first_key") < before, F.lit(False)))
+            .groupBy(F.lit(source).alias("source_table"), *HIGH_VALUES)
+            .agg(
+                F.sum("n").alias("n"),
+                F.min("first_key").alias("first_key"),
+                F.max("last_key").alias("last_key"),
+                F.count_if("overlaps").alias("files_overlap"),
+            )
+        )
+
+    return roles.union(for_each_table(spark, of_source, sources))
+
+
 @query
 def clustered_write(spark, sf_dir):
-    """What a clustered load of all shipments holds per unit, and how many of its files reach into another."""
-    name, _, _ = _loaded(spark, sf_dir, "LINEITEM", cluster_by=("l_partkey", "l_shipdate"))
-    ends = [F.count(F.lit(1)).alias("n"), F.min("l_partkey").alias("first_part"), F.max("l_partkey").alias("last_part")]
-    files = spark.table(name).groupBy(*HIGH_VALUES, F.col("_metadata.file_path").alias("file")).agg(*ends)
-    before = F.lag("last_part").over(Window.partitionBy(*HIGH_VALUES).orderBy("first_part", "last_part"))
-    return (
-        files.withColumn("overlaps", F.coalesce(F.col("first_part") < before, F.lit(False)))
-        .groupBy(*HIGH_VALUES)
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("first_part").alias("first_part"),
-            F.max("last_part").alias("last_part"),
-            F.count_if("overlaps").alias("files_overlap"),
-        )
-    )
+    """Clustered loads of all sources."""
+    return clustered(spark, sf_dir)
+
+
+# A day below which units are early, and what a later source has lost and kept of its rows.
+EARLY = {"ORDERS": "1998-01-01", "LINEITEM": "1998-01-01", "EVENTS": "2024-01-15"}
+_SHRUNK = {
+    "ORDERS": "year(o_orderdate) <> 1998 AND o_orderkey % 3 <> 0",
+    "LINEITEM": "year(l_shipdate) <> 1998 AND l_orderkey % 3 <> 0",
+    "EVENTS": "dayofmonth(ts) <> 20 AND event_id % 3 <> 0",
+}
 
 
 @query
 def swap_units(spark, sf_dir):
-    """All orders are loaded, then the units above 1997 are replaced from a source that lost 1998 and every
-    third order. The units of 1998 must end up empty, those up to 1997 untouched."""
-    name, units, _ = _loaded(spark, sf_dir, "ORDERS")
-    later = settle(units.filter("high IS NULL OR high > DATE'1998-01-01'"), "later")
-    rows = roles.source_rows(spark, sf_dir, "ORDERS").filter("year(o_orderdate) <> 1998 AND o_orderkey % 3 <> 0")
-    op.swap_units(op.assign_units(rows, later, "o_orderdate"), name, later)
-    return op.stored_row_counts(spark.table(name), units)
+    """All sources are loaded, then their later units are replaced from sources that lost a year or a day and every third
+    key. The units of what was lost must end up empty, the early ones untouched."""
+
+    def swapped(source):
+        _, key, list_col = SOURCES[source]
+        name, units, _ = _loaded(spark, sf_dir, source)
+        later = settle(units.filter(f"high IS NULL OR high > DATE'{EARLY[source]}'"), "later")
+        rows = roles.source_rows(spark, sf_dir, source).filter(_SHRUNK[source])
+        op.swap_units(op.assign_units(rows, later, key, list_col), name, later)
+        return op.stored_row_counts(spark.table(name), units)
+
+    return roles.union(for_each_table(spark, swapped, SOURCES))
 
 
 @query
@@ -196,14 +224,18 @@ def day_histogram(spark, sf_dir):
 
 @query
 def reconcile_recorded(spark, sf_dir):
-    """Archived shipments whose recorded load is that of the faulty copy, against a recount of the source."""
-    units = roles.catalog(spark, sf_dir, "LINEITEM").filter("high < DATE'2001-06-01'")
-    rows = roles.source_rows(spark, sf_dir, "LINEITEM")
-    recorded = op.unit_row_counts(roles.faulty(rows, "LINEITEM"), units, "l_shipdate", "l_returnflag")
-    ledger = units.join(recorded.withColumnRenamed("n", "target_rows"), UNIT_KEY)
-    counts = op.unit_row_counts(rows, units, "l_shipdate", "l_returnflag")
-    checked = op.reconcile_recorded(ledger, counts)
-    return checked.select(*UNIT_KEY, "source_rows", "target_rows", "quality_status", "error_message")
+    """Archived units whose recorded load is that of the faulty copy, against a recount of their source."""
+
+    def checked(source):
+        _, key, list_col = SOURCES[source]
+        units = roles.catalog(spark, sf_dir, source).filter(f"high < DATE'{roles.POLICIES[source][0]}'")
+        rows = roles.source_rows(spark, sf_dir, source)
+        recorded = op.unit_row_counts(roles.faulty(rows, source), units, key, list_col)
+        ledger = units.join(recorded.withColumnRenamed("n", "target_rows"), UNIT_KEY)
+        return op.reconcile_recorded(ledger, op.unit_row_counts(rows, units, key, list_col))
+
+    both = roles.union(for_each_table(spark, checked, SOURCES))
+    return both.select(*UNIT_KEY, "source_rows", "target_rows", "quality_status", "error_message")
 
 
 @query
@@ -448,27 +480,72 @@ def replicate(spark, sf_dir):
 
 @query
 def cleanup_units(spark, sf_dir):
-    """Three loads of the orders; early units are truncated, deleted or dropped. Rows and partitions left."""
-    catalog = roles.catalog(spark, sf_dir, "ORDERS")
+    """Three loads of every source; early units are truncated, deleted or dropped. Rows and partitions left."""
+    cats = roles.catalogs(spark, sf_dir)
 
-    def cleaned(mode):
-        name, units, _ = _loaded(spark, sf_dir, "ORDERS", units=catalog)
-        op.cleanup_units(name, units.filter("high <= DATE'1998-01-01'"), mode, execute=True)
+    def cleaned(one):
+        source, mode = one
+        name, units, _ = _loaded(spark, sf_dir, source, units=cats[source])
+        op.cleanup_units(name, units.filter(f"high <= DATE'{EARLY[source]}'"), mode, execute=True)
         kept = spark.sql(f"SHOW PARTITIONS {name}").agg(F.count(F.lit(1)).alias("partitions_kept"))
         counts = op.stored_row_counts(spark.table(name), units)
-        return counts.select(F.lit(mode).alias("cleanup_mode"), "partition_hv", "n").join(
+        return counts.select("source_table", F.lit(mode).alias("cleanup_mode"), *HIGH_VALUES, "n").join(
             kept.withColumn("cleanup_mode", F.lit(mode)), "cleanup_mode"
         )
 
-    return roles.union(for_each_table(spark, cleaned, ("TRUNCATE", "DELETE", "DROP")))
+    every = [(source, mode) for source in SOURCES for mode in ("TRUNCATE", "DELETE", "DROP")]
+    return roles.union(for_each_table(spark, cleaned, every))
+
+
+ROW_KEYS = {"ORDERS": ["o_orderkey"], "LINEITEM": ["l_orderkey", "l_linenumber"], "EVENTS": ["event_id"]}
 
 
 @query
 def rows_outside(spark, sf_dir):
-    """A source that is not laid out by unit: the orders left when the early units are cleaned up."""
-    units = roles.catalog(spark, sf_dir, "ORDERS").filter("high <= DATE'1998-01-01'")
-    left = op.rows_outside(roles.source_rows(spark, sf_dir, "ORDERS"), units, "o_orderdate")
-    return shown(left, "o_orderkey", "o_orderdate")
+    """Sources that are not laid out by unit: the rows left when the early units are cleaned up."""
+
+    def left(source):
+        _, key, list_col = SOURCES[source]
+        units = settle(roles.catalog(spark, sf_dir, source).filter(f"high <= DATE'{EARLY[source]}'"), "early")
+        rows = op.rows_outside(roles.source_rows(spark, sf_dir, source), units, key, list_col)
+        row_key = F.concat_ws("-", *[F.col(c).cast("string") for c in ROW_KEYS[source]])
+        return rows.select(F.lit(source).alias("source_table"), row_key.alias("row_key"), F.to_date(key).cast("string").alias("day"))
+
+    return roles.union(for_each_table(spark, left, SOURCES))
+
+
+@query
+def truncate_flat_source(spark, sf_dir):
+    """Flat copies of all sources; every other unit is removed by copy on write. Rows left per unit, and the rows that the
+    cleanup says it removed."""
+
+    def cleaned(source):
+        _, key, list_col = SOURCES[source]
+        units = roles.catalog(spark, sf_dir, source)
+        name = scratch_name(spark, f"{source.lower()}_flat")
+        roles.source_rows(spark, sf_dir, source).write.format("parquet").saveAsTable(name)
+        some = settle(units.filter("position % 2 = 0"), "some_units")
+        removed = op.truncate_flat_source(name, some, key, list_col, execute=True)
+        held = op.unit_row_counts(spark.table(name), units, key, list_col).withColumnRenamed("n", "rows_left")
+        return held.join(removed.withColumnRenamed("n", "rows_removed"), UNIT_KEY, "left")
+
+    return roles.union(for_each_table(spark, cleaned, SOURCES)).select(*UNIT_KEY, "rows_left", "rows_removed")
+
+
+@query
+def business_dates(spark, sf_dir):
+    """Business dates kept as SQL text: a constant, a subquery over the shipments, NULL, and one that cannot run."""
+    roles.source_rows(spark, sf_dir, "LINEITEM").createOrReplaceTempView("dated_lineitem")
+    texts = {
+        "ORDERS": "DATE '2001-06-01'",
+        "LINEITEM": "SELECT date_sub(max(l_shipdate), 30) FROM dated_lineitem",
+        "EVENTS": "CAST(NULL AS DATE)",
+        "PARTS": "SELECT l_shipdate FROM dated_lineitem",
+        "SUPPLIERS": None,
+    }
+    rows = [(source, text) for source, text in texts.items()]
+    dated = op.business_dates(spark.createDataFrame(rows, "source_table string, last_business_date string"))
+    return shown(dated, "source_table", "last_business_date", "business_date_state")
 
 
 def _rows_left(spark, sf_dir, gone, suffix):
@@ -534,6 +611,23 @@ def current_units(spark, sf_dir):
     return shown(ledger, *LEDGER_SHOWN, "unit_type", *ARCHIVE_STATE)
 
 
+@query
+def compact_state(spark, sf_dir):
+    """A ledger whose events came in batches is compacted, and so are batches that come after it; the ledger folded from
+    what is left, and how many batches it lies in."""
+    events = _marked_events(spark, sf_dir)
+    name = scratch_name(spark, "unit_events")
+    for seqs in ((0, 1), (2,), (3,), None, (4,), (5,)):
+        if seqs is None:
+            _compact(spark, name, lambda e: op.deciding_unit_events(e, ARCHIVE))
+        else:
+            _append(events.filter(F.col("seq").isin(*seqs)), name)
+    _compact(spark, name, lambda e: op.deciding_unit_events(e, ARCHIVE))
+    batches = spark.sql(f"SHOW PARTITIONS {name}").count()
+    ledger = op.current_units(spark.table(name), ARCHIVE)
+    return shown(ledger.withColumn("batches", F.lit(batches)), *LEDGER_SHOWN, "unit_type", *ARCHIVE_STATE, "batches")
+
+
 def _at():
     return datetime.fromisoformat(roles.AS_OF)
 

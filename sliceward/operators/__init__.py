@@ -1,6 +1,6 @@
 """The lifecycle operators; every public function takes and returns DataFrames."""
 
-from sliceward.operators.assign import assign_units, unit_slice, unit_slices
+from sliceward.operators.assign import assign_units, laid_out_by_unit, unit_slice, unit_slices
 from sliceward.operators.candidates import (
     archivable,
     base_dates,
@@ -34,6 +34,7 @@ from sliceward.operators.movement import (
     resolve_targets,
     rows_outside,
     swap_units,
+    truncate_flat_source,
 )
 from sliceward.operators.reports import (
     cap_rows,
@@ -49,6 +50,7 @@ from sliceward.operators.reports import (
     report_window,
 )
 from sliceward.operators.retention import (
+    business_dates,
     configured_rules,
     preserve_dates,
     preserve_match,
@@ -60,6 +62,8 @@ from sliceward.operators.state import (
     consolidate_log,
     current_runs,
     current_units,
+    deciding_run_events,
+    deciding_unit_events,
     expired_log_partitions,
     log_durations,
     mark_units,

@@ -107,9 +107,9 @@ class Calendar:
         """The cell of a day, given as days since the epoch; days outside count as the nearest one inside."""
         at = F.date_from_unix_date(F.greatest(F.least(day, F.lit(self.last)), F.lit(self.first)))
         return (
-            F.when(~_block(at).isin(self.blocks), _block(at) * 4)
-            .when(~F.year(at).isin(self.years), F.year(at) * 4 + 1)
-            .when(~_month(at).isin(self.months), _month(at) * 4 + 2)
+            F.when(~_block(at).isin(*self.blocks), _block(at) * 4)
+            .when(~F.year(at).isin(*self.years), F.year(at) * 4 + 1)
+            .when(~_month(at).isin(*self.months), _month(at) * 4 + 2)
             .otherwise(F.unix_date(at) * 4 + 3)
         )
 
@@ -123,7 +123,7 @@ class Calendar:
 
         def parts(period: str, cut: frozenset[int], start: Column, end: Column, low: Column, high: Column) -> Column:
             inside = F.sequence(F.greatest(start, low), F.least(end, high))
-            return F.explode(F.when(F.col(period).isin(cut), inside).otherwise(nothing))
+            return F.explode(F.when(F.col(period).isin(*cut), inside).otherwise(nothing))
 
         b, y, m = F.col("__b"), F.col("__y"), F.col("__m")
         spans = spans.withColumn("__b", F.explode(F.sequence(_block(low), _block(high))))

@@ -26,7 +26,7 @@ def unit_row_counts(df: DataFrame, units: DataFrame, key: str, list_col: str | N
     rows = within_extent(source_of_units(df, units, extent), key, extent)
     days = day_histogram(rows, key, list_col)
     per_day = assign_units(days, units, key, list_col, extent=extent)
-    return _zero_filled(units, per_day.groupBy(*HIGH_VALUES).agg(F.sum("day_rows").alias("n")))
+    return zero_filled(units, per_day.groupBy(*HIGH_VALUES).agg(F.sum("day_rows").alias("n")))
 
 
 def stored_row_counts(stored: DataFrame, units: DataFrame) -> DataFrame:
@@ -35,10 +35,11 @@ def stored_row_counts(stored: DataFrame, units: DataFrame) -> DataFrame:
     Only partition columns are used, so the scan reads the footers of the units' files and no data pages.
     """
     held = only_units(stored, units, unit_extent(units))
-    return _zero_filled(units, held.groupBy(*HIGH_VALUES).agg(F.count(F.lit(1)).alias("n")))
+    return zero_filled(units, held.groupBy(*HIGH_VALUES).agg(F.count(F.lit(1)).alias("n")))
 
 
-def _zero_filled(units: DataFrame, counts: DataFrame) -> DataFrame:
+def zero_filled(units: DataFrame, counts: DataFrame) -> DataFrame:
+    """(unit key, n) for every unit, 0 for one without a count."""
     return units.select(*UNIT_KEY).join(counts, HIGH_VALUES, "left").select(
         *UNIT_KEY, F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )

@@ -62,6 +62,31 @@ def configured_rules(config: DataFrame) -> DataFrame:
     return rule_rows(config.sparkSession, texts)
 
 
+def business_dates(config: DataFrame) -> DataFrame:
+    """The config with ``last_business_date`` evaluated, and ``business_date_state``.
+
+    The column holds text, each a SQL expression or a scalar subquery. A text is evaluated once, in a job of its own, for
+    all tables that have it. ROWS: a date; EMPTY: no text, NULL or something that is no date; FAILED: it cannot be
+    analysed or run. Without a date ``last_business_date`` is NULL, which the candidate sets refuse.
+    """
+    spark = config.sparkSession
+    named = config.filter("last_business_date IS NOT NULL").select("last_business_date").distinct()
+    texts = [r[0] for r in named.toLocalIterator()]
+
+    def evaluate(text: str) -> tuple[str, object, str]:
+        try:
+            day = spark.sql(f"SELECT try_cast(({text}) AS DATE)").first()[0]
+        except (PySparkException, Py4JError):
+            return text, None, FAILED
+        return text, day, ROWS if day is not None else EMPTY
+
+    found = spark.createDataFrame(for_each_table(spark, evaluate, texts), "text string, day date, state string")
+    others = [c for c in config.columns if c != "last_business_date"]
+    joined = config.join(F.broadcast(found), F.col("last_business_date") == F.col("text"), "left")
+    dated = joined.select(*others, F.col("day").alias("last_business_date"), F.coalesce("state", F.lit(EMPTY)).alias("business_date_state"))
+    return dated.select(*config.columns, "business_date_state")
+
+
 def preserve_dates(config: DataFrame, rows: DataFrame) -> DataFrame:
     """Every configured table with each of its rule's days, or one NULL day when there is none."""
     days = rows.filter(F.col("rule_state") == ROWS).select(*TARGET, "preserve_date")

@@ -47,6 +47,28 @@ def current_units(unit_events: DataFrame, layer: Layer) -> DataFrame:
     return folded.select(*UNIT_KEY, "description.*", *sticky, "latest.*")
 
 
+def _deciding(events: DataFrame, key: list[str], order: tuple[str, ...], known: list[Column]) -> DataFrame:
+    """The last event of each key and the last for which each of the conditions holds; one that is both comes once."""
+    whole, at = F.struct(*events.columns), F.struct(*order)
+    kept = [F.max_by(whole, at), *(F.max_by(whole, F.when(k, at)) for k in known)]
+    deciding = F.explode(F.array_distinct(F.array_compact(F.array(*[F.col(f"k{i}") for i in range(len(kept))]))))
+    folded = events.groupBy(*key).agg(*[k.alias(f"k{i}") for i, k in enumerate(kept)])
+    return folded.select(deciding.alias("e")).select("e.*")
+
+
+def deciding_unit_events(unit_events: DataFrame, layer: Layer) -> DataFrame:
+    """The events that decide how all events of a unit fold, also together with events that come later or late: the last
+    one, and the last that said the description and each sticky column. Their number per unit is bounded."""
+    sticky = layer.statuses + ["source_rows", "target_rows"]
+    known = [F.col(c).isNotNull() for c in ("unit_type", *sticky)]
+    return _deciding(unit_events, UNIT_KEY, UNIT_ORDER, known)
+
+
+def deciding_run_events(run_events: DataFrame) -> DataFrame:
+    """The events that decide how all events of a run fold: its start, its last status and its finish."""
+    return _deciding(run_events, ["run_id"], ORDER, [F.col(c).isNotNull() for c in ("run_type", "run_status", "ended_at")])
+
+
 def mark_units(
     units: DataFrame,
     layer: Layer,

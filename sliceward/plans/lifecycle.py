@@ -35,16 +35,19 @@ from sliceward.schema import (
     Layer,
     ledger_event_schema,
 )
-from sliceward.sources import SourceSpec, append_state, for_each_table, read_source, settle
+from sliceward.sources import SourceSpec, append_state, compact_state, for_each_table, read_source, settle
 from sliceward.sources.stored import BATCH
 
+#: Batches of a state table above which a run leaves a snapshot behind.
+MOST_BATCHES = 16
+
 
 @dataclass(frozen=True)
 class Binding:
     """The physical side of one configured table.
 
-    target: managed table laid out by unit. source_store: the managed table behind the source, also laid out
-    by unit; only needed to execute a cleanup of the source.
+    target: managed table laid out by unit. source_store: the table behind the source, laid out by unit or flat (not
+    partitioned); only needed to execute a cleanup of the source.
     """
 
     source: SourceSpec
@@ -141,6 +144,20 @@ class Lifecycle:
             return self.spark.table(table)
         return self.spark.createDataFrame([], schema)
 
+    def dated_config(self) -> DataFrame:
+        """The config with its business dates; dates kept as SQL text are evaluated now."""
+        if dict(self.config.dtypes)["last_business_date"] != "string":
+            return self.config
+        return settle(op.business_dates(self.config), "dated_config").drop("business_date_state")
+
+    def compact(self, most_batches: int = MOST_BATCHES) -> None:
+        """Replace the batches of the ledger and of the runs by a snapshot where there are more than so many."""
+        layer = self.layer
+        folds = {self.unit_events_table: lambda e: op.deciding_unit_events(e, layer), self.run_events_table: op.deciding_run_events}
+        for table, survivors in folds.items():
+            if self.spark.catalog.tableExists(table) and self.spark.sql(f"SHOW PARTITIONS {table}").count() > most_batches:
+                compact_state(self.spark, table, survivors)
+
     def append_units(self, events: DataFrame) -> None:
         append_state(events, self.unit_events_table)
 
@@ -373,7 +390,11 @@ class Lifecycle:
             return self._report(run, step, units, execute)
 
     def _clean_table(self, run: Run, binding: Binding, units: DataFrame) -> DataFrame:
-        op.cleanup_units(self._cleanup_table(binding), units, "TRUNCATE", execute=True)
+        table = self._cleanup_table(binding)
+        if op.laid_out_by_unit(self.spark.table(table)):
+            op.cleanup_units(table, units, "TRUNCATE", execute=True)
+        else:
+            op.truncate_flat_source(table, units, binding.key, binding.list_col, execute=True)
         self.append_units(op.cleanup_events(units, self.layer, run.run_id, self._now()))
         return units
 
@@ -401,6 +422,7 @@ class Lifecycle:
                 done[step] = work(switch, target_owner, target_table)
                 if step == stop:
                     break
+        self.compact()
         return done
 
 
@@ -427,12 +449,12 @@ class ArchiveLifecycle(Lifecycle):
         return op.source_units(self.config, self.catalog())
 
     def _loadable(self) -> DataFrame:
-        return op.archivable(self.ledger(), self.config)
+        return op.archivable(self.ledger(), self.dated_config())
 
     def _checked(self, binding: Binding, units: DataFrame) -> DataFrame:
         """A source laid out by unit is counted as it lies, since that is what a cleanup removes: a row that lies in
         a unit it does not belong to is a mismatch. Another source is counted by its keys."""
-        if binding.source_store is not None:
+        if binding.source_store is not None and op.laid_out_by_unit(self.spark.table(binding.source_store)):
             counts = op.stored_row_counts(self.spark.table(binding.source_store), units)
         else:
             source = read_source(self.spark, binding.source)
@@ -447,12 +469,12 @@ class ArchiveLifecycle(Lifecycle):
         bad = op.preserve_status(config, rows).filter("preserve_calc LIKE 'ERROR:%'").count()
         if bad:
             raise ValueError(f"the preserve rule of {bad} table(s) has no usable result; nothing was cleaned up")
-        units = op.scope(op.truncatable(self.ledger(), self.config), owner, table)
+        units = op.scope(op.truncatable(self.ledger(), self.dated_config()), owner, table)
         return op.preserve_match(units, op.preserve_dates(config, rows))
 
     def _cleanup_table(self, binding: Binding) -> str:
         if binding.source_store is None:
-            raise ValueError(f"the source of {binding.target} is not laid out by unit; it cannot be cleaned up here")
+            raise ValueError(f"no table is bound behind the source of {binding.target}; it cannot be cleaned up here")
         return binding.source_store
 
     def run_table(

@@ -1,6 +1,7 @@
 from sliceward.sources.readers import SourceSpec, check_columns, read_source
 from sliceward.sources.stored import (
     append_state,
+    compact_state,
     create_table,
     for_each_table,
     require_partition_overwrite,
@@ -13,6 +14,7 @@ __all__ = [
     "SourceSpec",
     "append_state",
     "check_columns",
+    "compact_state",
     "create_table",
     "for_each_table",
     "read_source",

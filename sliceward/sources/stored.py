@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SCRATCH = "sliceward_scratch"
+#: Partitions that one statement drops.
+DDL_BATCH = 500
 BATCH = "batch"
 
 T = TypeVar("T")
@@ -68,6 +71,26 @@ def append_state(events: DataFrame, table: str, partition_by: tuple[str, ...] =
     events.select(*stored).hint("rebalance").select(*stored, batch).write.insertInto(table, overwrite=True)
 
 
+def compact_state(spark: SparkSession, table: str, survivors: Callable[[DataFrame], DataFrame]) -> int:
+    """Replace the batches of a state table by one snapshot of the events that still count; how many there were.
+
+    survivors(events) gives the events that decide how all of them fold, so a reader sees the same state before, between
+    and after: the snapshot is a batch like any other, is complete before it becomes visible, and only then the batches
+    it stands for are dropped. A run that breaks in between leaves events twice, which fold like once, and the next
+    compaction removes them. Batches appended meanwhile are not touched, and two compactions at a time do no harm.
+    """
+    listed = settle(spark.table(table).select(BATCH).distinct(), "batches")
+    count = listed.count()
+    if count > 1:
+        old = spark.table(table).join(F.broadcast(listed), BATCH, "left_semi").drop(BATCH)
+        append_state(settle(survivors(old), "snapshot"), table)
+        names = (r[0] for r in listed.toLocalIterator())
+        while some := list(islice(names, DDL_BATCH)):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({BATCH} = '{b}')" for b in some))
+        spark.catalog.refreshTable(table)
+    return count
+
+
 def require_partition_overwrite(spark: SparkSession, table: str) -> None:
     """Refuse a table whose overwrite would replace all partitions instead of those written."""
     if spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "DYNAMIC":
