@@ -42,6 +42,11 @@ def key_of(docs: DataFrame) -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), made)
 
 
+def text_digest() -> Column:
+    """Tells texts of one doc_id apart."""
+    return F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+
+
 def chunked(docs: DataFrame, carry: bool = False, chunk_bytes: int = CHUNK_BYTES) -> Chunked:
     """Write the documents bucketed by chunk. A chunk is a part of one input partition, so nothing is shuffled.
 

@@ -31,6 +31,8 @@ WORD = np.uint64(1)
 #: Bins per octave of the estimates, and the rounds of EM.
 BINS, ROUNDS = 8, 200
 BUCKETS = 48
+#: The bin of an estimate of zero; bins below uniform are negative.
+ZERO = -(1 << 30)
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 RESULT = [
     ("held_out", BooleanType()),
@@ -47,6 +49,11 @@ def bucket_of(contexts: np.ndarray) -> np.ndarray:
     return np.frexp(contexts.astype(np.float64))[1]
 
 
+def binned(p: np.ndarray, uniform: float) -> np.ndarray:
+    """The bins of estimates, counted from the uniform one."""
+    return np.rint(np.log2(p / uniform, out=np.full(len(p), ZERO / BINS), where=p > 0) * BINS).astype(np.int64)
+
+
 def learn(cells: np.ndarray, uniform: float, rounds: int = ROUNDS) -> np.ndarray:
     """Weights of (bigram, unigram, uniform) per bucket from rows of bucket, bigram bin, unigram bin, tokens.
 
@@ -58,7 +65,7 @@ def learn(cells: np.ndarray, uniform: float, rounds: int = ROUNDS) -> np.ndarray
         rows = cells[cells[:, 0] == b]
         if len(rows):
             seen = rows[:, 3].astype(np.float64)
-            estimate = np.stack([np.where(rows[:, k] < 0, 0.0, uniform * 2.0 ** (rows[:, k] / BINS)) for k in (1, 2)], axis=1)
+            estimate = np.stack([np.where(rows[:, k] == ZERO, 0.0, uniform * 2.0 ** (rows[:, k] / BINS)) for k in (1, 2)], axis=1)
             estimate = np.column_stack((estimate, np.full(len(rows), uniform)))
             last = np.full(3, 1 / 3) if b else np.array([0.0, 0.5, 0.5])
             for _ in range(rounds):
@@ -145,16 +152,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
     uniform = 1.0 / (types + 1)
     told = answers.filter("chunk >= 0")
 
-    def binned(p: np.ndarray) -> np.ndarray:
-        with np.errstate(divide="ignore"):
-            return np.where(p > 0, np.maximum(np.rint(np.log2(p / uniform) * BINS), 0), -1).astype(np.int64)
-
     def histogram(rows: pa.Table, answers: pa.Table) -> pa.Table:
         known, one, two, context, _, _, learned, _ = grams(rows)
         counts = P.in_order(answers, np.uint64).astype(np.float64)
         c1, c2, cc = counts[one][learned] - 1, counts[two][learned] - 1, counts[context][learned] - 1
-        b2 = binned(np.divide(c2, cc, out=np.zeros_like(c2), where=cc > 0))
-        b1 = binned(c1 / max(tokens - 1, 1))
+        b2 = binned(np.divide(c2, cc, out=np.zeros_like(c2), where=cc > 0), uniform)
+        b1 = binned(c1 / max(tokens - 1, 1), uniform)
         cells, seen = np.unique(np.stack((bucket_of(cc), b2, b1)), axis=1, return_counts=True)
         return pa.table({"b": cells[0].astype(np.int64), "b2": cells[1], "b1": cells[2], "n": seen})
 

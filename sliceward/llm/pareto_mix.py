@@ -2,12 +2,14 @@
 
 Each source gets a target of words. A document's expected copies are target / size of its source; the whole part is
 certain, and the rest f is its inclusion probability in a sample. Documents are ranked by random odds over inclusion
-odds, (u / (1 - u)) / (f / (1 - f)), and taken in this order as long as the target allows; one more document, the one
-whose size is nearest to what is still open, closes the sample if it brings the source nearer to its target.
+odds, (u / (1 - u)) / (f / (1 - f)), and taken in this order as long as the target allows. A document that does not fit
+is passed over, with all others that are larger than what is still open, and the order is taken up again behind it, up to
+ROUNDS times; what is open falls below the size of the document passed over each time. One more document, the one whose
+size is nearest to what is left open, closes the sample if it brings the source nearer to its target.
 
 The order is cut without sorting a source: sizes are added up by bins of u (within a source the rank rises with u), the
 bin that holds the cut is found from these sums, and only its few thousand rows are ordered. The result is a predicate
-per source, so documents are never shuffled.
+per source, a size limit and a cut for each round, so documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
 #: Rows that a bin should hold at most, on average.
 BIN_ROWS = 4096
+#: Times that the order is taken up.
+ROUNDS = 5
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -61,6 +65,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 PLACE = "struct<rank double, key string>"
+ROUND = f"struct<most: bigint, bin: bigint, cut: {PLACE}>"
 
 
 def place() -> Column:
@@ -70,12 +75,20 @@ def place() -> Column:
     return F.struct(rank.alias("rank"), F.col("__key").alias("key"))
 
 
+def own_bin() -> Column:
+    return F.floor(F.col("__u") * F.col("p.bins"))
+
+
 def sampled() -> Column:
-    """Whether a row beside its source's plan ``p`` is in the sample: before the cut, or the one that closes it."""
-    own = F.floor(F.col("__u") * F.col("p.bins"))
-    at_cut = (own == F.col("p.bin")) & F.coalesce(place() <= F.col("p.cut"), F.lit(False))
-    in_order = F.col("p.bin").isNull() | (own < F.col("p.bin")) | at_cut
-    return (F.col("p.part") > 0) & (in_order | F.coalesce(place() == F.col("p.closing"), F.lit(False)))
+    """Whether a row beside its source's plan ``p`` is in the sample: up to the cut of a round that its size is allowed
+    in, or the one that closes it."""
+    own, at = own_bin(), place()
+
+    def before_cut(r: Column) -> Column:
+        at_cut = (own == r["bin"]) & F.coalesce(at <= r["cut"], F.lit(False))
+        return (F.col("__size") <= r["most"]) & (r["bin"].isNull() | (own < r["bin"]) | at_cut)
+
+    return (F.col("p.part") > 0) & (F.exists("p.rounds", before_cut) | F.coalesce(at == F.col("p.closing"), F.lit(False)))
 
 
 def beside(rows: DataFrame, planned: DataFrame) -> DataFrame:
@@ -84,53 +97,62 @@ def beside(rows: DataFrame, planned: DataFrame) -> DataFrame:
     return rows.join(side, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
 
 
+def next_cut(rows: DataFrame, plans: DataFrame) -> DataFrame:
+    """The plans with one more round: how far the order goes among the rows that fit into what is open."""
+    names = plans.columns
+    left = beside(rows, plans).filter((F.col("p.part") > 0) & (F.col("__size") <= F.col("p.open")) & ~sampled())
+    sums = settle(left.groupBy("source", own_bin().alias("own"), F.col("p.open").alias("open")).agg(F.sum("__size").alias("words")), "bins")
+    running = Window.partitionBy("source").orderBy("own")
+    upto = sums.withColumn("upto", F.sum("words").over(running))
+    first = F.min(F.when(F.col("upto") > F.col("open"), F.struct("own", (F.col("upto") - F.col("words")).alias("before"))))
+    crossing = upto.groupBy(F.col("source").alias("__c")).agg(first.alias("at"), F.sum("words").alias("all"))
+    at_bin = plans.join(crossing, F.col("source").eqNullSafe(F.col("__c")), "left").drop("__c")
+    at_bin = at_bin.select(*names, F.col("at.own").alias("bin"), F.coalesce("at.before", "all", F.lit(0)).alias("before"))
+    at_bin = settle(at_bin, "cut_bins")
+
+    inside = beside(rows, at_bin).filter((F.col("p.part") > 0) & (F.col("__size") <= F.col("p.open")) & (own_bin() == F.col("p.bin")) & ~sampled())
+    order = Window.partitionBy("source").orderBy("place")
+    inner = inside.withColumn("place", place()).withColumn("upto", F.col("p.before") + F.sum("__size").over(order))
+    inner = inner.filter(F.col("upto") <= F.col("p.open")).groupBy(F.col("source").alias("__c"))
+    cuts = inner.agg(F.max("place").alias("last"), F.max("upto").alias("taken"))
+    cut = at_bin.join(cuts, F.col("source").eqNullSafe(F.col("__c")), "left").drop("__c")
+    made = F.struct(F.floor("open").alias("most"), "bin", F.col("last").alias("cut"))
+    return settle(
+        cut.withColumn("rounds", F.concat("rounds", F.array(made))).withColumn("open", F.col("open") - F.coalesce("taken", "before")).select(*names),
+        "cuts",
+    )
+
+
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """One row per source: source_size, target, whole (certain copies), part (inclusion probability) and the cut.
+    """One row per source: source_size, target, whole (certain copies), part (inclusion probability), rounds and closing.
 
-    rows: columns source, __size, __key, __u. bin: the bin of u that holds the cut, null if all documents are taken;
-    cut: the last place in it that is taken; closing: the place of the document that closes the sample.
+    rows: columns source, __size, __key, __u. A round has the largest size that it takes, the bin of u that holds its cut,
+    null if all such documents are taken, and the last place in it that is taken; open: what the rounds have left open;
+    closing: the place of the document that closes the sample.
     """
     sums = rows.groupBy("source").agg(F.sum("__size").alias("source_size"))
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     goals = targets(settle(sums, "source_sizes"), weights, share, most).withColumn("whole", F.floor(copies))
-    goals = settle(
+    plans = settle(
         goals.withColumns(
             {
                 "part": copies - F.col("whole"),
                 "open": F.col("target") - F.col("whole") * F.col("source_size"),
                 "bins": F.lit(max(1024, rows.count() // BIN_ROWS)).cast("long"),
-                "bin": F.lit(None).cast("long"),
-                "cut": F.lit(None).cast(PLACE),
+                "rounds": F.array().cast(f"array<{ROUND}>"),
                 "closing": F.lit(None).cast(PLACE),
             }
         ),
         "goals",
     )
-    binned = beside(rows, goals).withColumn("own", F.floor(F.col("__u") * F.col("p.bins")))
-    sums = settle(binned.groupBy("source", "own", F.col("p.open").alias("open")).agg(F.sum("__size").alias("words")), "bins")
-    running = Window.partitionBy("source").orderBy("own")
-    upto = sums.withColumn("upto", F.sum("words").over(running))
-    first = F.min(F.when(F.col("upto") > F.col("open"), F.struct("own", (F.col("upto") - F.col("words")).alias("before"))))
-    total = F.sum("words").alias("all")
-    crossing = upto.groupBy(F.col("source").alias("__c")).agg(first.alias("at"), total)
-    cut_bins = goals.drop("bin").join(crossing, F.col("source").eqNullSafe(F.col("__c")), "left").drop("__c")
-    before = F.coalesce("at.before", "all").alias("before")
-    cut_bins = settle(cut_bins.select(*[c for c in goals.columns if c != "bin"], F.col("at.own").alias("bin"), before), "cut_bins")
-
-    inside = beside(rows, cut_bins).filter(F.floor(F.col("__u") * F.col("p.bins")) == F.col("p.bin"))
-    order = Window.partitionBy("source").orderBy("place")
-    inner = inside.withColumn("place", place()).withColumn("upto", F.col("p.before") + F.sum("__size").over(order))
-    inner = inner.filter(F.col("upto") <= F.col("p.open")).groupBy(F.col("source").alias("__c"))
-    cuts = inner.agg(F.max("place").alias("last"), F.max("upto").alias("taken"))
-    cut = cut_bins.drop("cut").join(cuts, F.col("source").eqNullSafe(F.col("__c")), "left").drop("__c")
-    gap = F.col("open") - F.coalesce("taken", "before")
-    cut = settle(cut.withColumn("gap", gap).withColumnRenamed("last", "cut").drop("taken", "before"), "cuts")
+    for _ in range(ROUNDS):
+        plans = next_cut(rows, plans)
 
-    rest = beside(rows, cut).filter(~sampled()).filter((F.col("p.part") > 0) & (F.col("__size") > 0))
-    off = F.abs(F.col("__size") - F.col("p.gap"))
+    rest = beside(rows, plans).filter(~sampled()).filter((F.col("p.part") > 0) & (F.col("__size") > 0))
+    off = F.abs(F.col("__size") - F.col("p.open"))
     nearest = F.min(F.struct(off.alias("off"), place().alias("place"))).alias("n")
-    closing = rest.filter(off < F.col("p.gap")).groupBy(F.col("source").alias("__c")).agg(nearest)
-    closed = cut.drop("closing").join(closing, F.col("source").eqNullSafe(F.col("__c")), "left")
+    closing = rest.filter(off < F.col("p.open")).groupBy(F.col("source").alias("__c")).agg(nearest)
+    closed = plans.drop("closing").join(closing, F.col("source").eqNullSafe(F.col("__c")), "left")
     return settle(closed.withColumn("closing", F.col("n.place")).drop("__c", "n"), "mix_plan")
 
 
@@ -167,6 +189,14 @@ def op8_pareto_mix(spark, sf_dir: str) -> DataFrame:
     )
 
 
+_ROUND_SQL = """), t@K@ AS (
+  SELECT * EXCLUDE (sofar), coalesce(fits OR (part > 0 AND size <= open AND sofar <= open), false) AS fits_now
+  FROM (SELECT *, sum(size) FILTER (WHERE NOT fits AND size <= open) OVER (PARTITION BY source ORDER BY rank, key) AS sofar FROM k@J@)
+), k@K@ AS (
+  SELECT * EXCLUDE (fits, open, fits_now), fits_now AS fits,
+         open - coalesce(sum(size) FILTER (WHERE fits_now AND NOT fits) OVER (PARTITION BY source), 0) AS open
+  FROM t@K@
+"""
 #: The same in SQL: the order is not cut by bins but ranked as a whole.
 OP8_SQL = r"""
 WITH r AS (
@@ -192,14 +222,12 @@ WITH r AS (
 ), d AS (
   SELECT r.*, c.* EXCLUDE (source), (u / (1 - u)) / (part / (1 - part)) AS rank
   FROM r JOIN c ON r.source IS NOT DISTINCT FROM c.source
-), t AS (
-  SELECT *, part > 0 AND sum(size) OVER (PARTITION BY source ORDER BY rank, key) <= open AS fits FROM d
-), k AS (SELECT *, open - coalesce(sum(size) FILTER (fits) OVER (PARTITION BY source), 0) AS gap FROM t
-), n AS (
-  SELECT source, min(struct_pack(off := abs(size - gap), rank := rank, key := key)) AS closing
-  FROM k WHERE NOT fits AND part > 0 AND size > 0 AND abs(size - gap) < gap GROUP BY source
+), k0 AS (SELECT *, false AS fits FROM d
+@ROUNDS@), n AS (
+  SELECT source, min(struct_pack(off := abs(size - open), rank := rank, key := key)) AS closing
+  FROM k@LAST@ WHERE NOT fits AND part > 0 AND size > 0 AND abs(size - open) < open GROUP BY source
 )
 SELECT doc_id, size, source_size, target,
        (size * (whole + (fits OR coalesce(rank = n.closing.rank AND key = n.closing.key, false))::INT))::BIGINT AS taken
-FROM k LEFT JOIN n ON k.source IS NOT DISTINCT FROM n.source
-"""
+FROM k@LAST@ k LEFT JOIN n ON k.source IS NOT DISTINCT FROM n.source
+""".replace("@ROUNDS@", "".join(_ROUND_SQL.replace("@K@", str(k)).replace("@J@", str(k - 1)) for k in range(1, ROUNDS + 1))).replace("@LAST@", str(ROUNDS))

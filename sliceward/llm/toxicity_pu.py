@@ -15,10 +15,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from sliceward.llm.chunks import beside_tasks
 from sliceward.sources.stored import settle
@@ -119,29 +119,24 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
     return {name: float(w) for name, w in zip(best, weights[:-1], strict=True)} | {"": float(weights[-1])}
 
 
-def score(docs: DataFrame, weights: dict[str, float], carry: bool = False) -> DataFrame:
-    """doc_id and score (0 to 1) of every row, with carry also the row. At most FEATURES weights are sent to tasks."""
-    names = ["doc_id", "score"] + ["row"] * carry
+def score(weights: dict[str, float]) -> Column:
+    """The score (0 to 1) of the column text. At most FEATURES weights are sent to tasks; only texts go to Python."""
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
         short = {n: {f[1:]: w for f, w in weights.items() if f[:1] == "^" and len(f) == n + 1} for n in BEGINNINGS}
         whole = {f: w for f, w in weights.items() if f[:1] != "^"}
-        for batch in batches:
-            made = np.empty(batch.num_rows)
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                words = set(WORD.findall((text or "").lower()))
-                total = whole.get("", 0.0) + sum(whole[w] for w in words & whole.keys())
-                for n, of in short.items():
-                    if of:
-                        total += sum(of[b] for b in {w[:n] for w in words if len(w) > n} & of.keys())
-                made[i] = total
-            p = 1 / (1 + np.exp(-np.clip(made, -500, 500)))
-            columns = [batch.column("doc_id"), pa.array(p)] + ([batch.column("row")] if carry else [])
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.struct("*").alias("row")] if carry else []))
-    schema = StructType([StructField("doc_id", LongType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(scored, schema.add("row", docs.schema) if carry else schema)
+        made = np.empty(len(texts))
+        for i, text in enumerate(texts):
+            words = set(WORD.findall((text or "").lower()))
+            total = whole.get("", 0.0) + sum(whole[w] for w in words & whole.keys())
+            for n, of in short.items():
+                if of:
+                    total += sum(of[b] for b in {w[:n] for w in words if len(w) > n} & of.keys())
+            made[i] = total
+        return pd.Series(1 / (1 + np.exp(-np.clip(made, -500, 500))))
+
+    return scored("text")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -151,13 +146,13 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     repeated labels the toxic one counts; a label of a repeated document applies to each of its rows. A row without
     doc_id is held out. labels, lang, source and doc_id are no inputs of the score.
     """
-    scored = score(docs, train(docs, labels))
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score(train(docs, labels)).alias("score"))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted to be toxic, rows as given."""
-    return score(docs, train(docs, labels), carry=True).filter("score < 0.5").select("row.*")
+    return docs.filter(score(train(docs, labels)) < 0.5)
 
 
 def op3_toxicity_pu(spark, sf_dir: str) -> DataFrame:
