@@ -14,18 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from querybook import roles  # noqa: E402
-from querybook.spark_queries import QUERIES  # noqa: E402
+from querybook.spark_queries import QUERIES, clustered  # noqa: E402
 from sliceward import operators as op  # noqa: E402
 from sliceward.operators.catalog import UNIT_COLUMNS  # noqa: E402
 from sliceward.schema import HIGH_VALUES  # noqa: E402
-from sliceward.sources import settle  # noqa: E402
+from sliceward.sources import scratch_database, settle  # noqa: E402
 
 HEADLINE = [
     "assign_units",
     "unit_row_counts",
     "reconcile_recorded",
     "reconcile_recounted",
-    "clustered_write",
     "archive",
     "current_runs",
     "consolidate_log",
@@ -52,6 +51,14 @@ def _histogram_probe(spark: SparkSession, sf_dir: str, units: DataFrame) -> Data
     return op.unit_row_counts(rows, units, "l_shipdate", "l_returnflag")
 
 
+def _reload(spark: SparkSession, sf_dir: str, units: DataFrame) -> DataFrame:
+    """The shipments are loaded into a table that is filled once and then replaced by every call."""
+    rows, name = roles.source_rows(spark, sf_dir, "LINEITEM"), f"{scratch_database(spark)}.bench_reload"
+    if not spark.catalog.tableExists(name):
+        op.create_unit_table(rows, name)
+    return op.load_units(rows, units, name, "l_shipdate", "l_returnflag")
+
+
 def _seconds(build) -> float:
     started = time.perf_counter()
     build().write.format("noop").mode("overwrite").save()
@@ -79,6 +86,9 @@ def main() -> None:
     work = {
         "probe_assign_and_count": lambda: _probe(spark, sf_dir, units),
         "probe_count_by_day": lambda: _histogram_probe(spark, sf_dir, units),
+        # The shipments alone, as in earlier rounds; the registered query loads all sources.
+        "clustered_write": lambda: clustered(spark, sf_dir, ("LINEITEM",)),
+        "reload": lambda: _reload(spark, sf_dir, units),
         **{name: (lambda fn=QUERIES[name]: fn(spark, sf_dir)) for name in HEADLINE},
     }
     times = {}

@@ -295,6 +295,13 @@ SELECT o_orderkey, o_custkey, strftime(o_orderdate, {_MICROS}) AS o_orderdate
 FROM orders WHERE EXISTS (
   SELECT 1 FROM units u WHERE u.source_table = 'ORDERS' AND u.high IS NOT NULL AND u.position % 2 = 0
      AND (u.low IS NULL OR o_orderdate >= u.low) AND o_orderdate < u.high)""",
+    "source_predicates": f"""WITH {_COUNTS},
+turns AS (
+  SELECT source_table, n, (row_number() OVER (PARTITION BY source_table ORDER BY n DESC, partition_hv, subpartition_hv) - 1) % 5 AS bin
+  FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv)
+)
+SELECT source_table, CAST(bin AS INTEGER) AS bin, count(*) AS units, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n) AS BIGINT) AS rows_read
+FROM turns GROUP BY ALL""",
     "clustered_write": f"""WITH {_UNITS},
 keyed AS (
   SELECT 'ORDERS' AS source_table, CAST(o_orderdate AS DATE) AS d, CAST(NULL AS VARCHAR) AS v, CAST(o_custkey AS BIGINT) AS k FROM orders
@@ -423,6 +430,10 @@ SELECT {_ROW}, CAST(preserve_date AS VARCHAR) AS preserve_date FROM cleanable"""
     "preserve_dates": f"""WITH {_CLEANABLE}
 SELECT 'ARCHIVE' AS target_owner, source_table || '_ARCH' AS target_table, preserve_rule,
        CAST(day AS VARCHAR) AS preserve_date
+FROM policy LEFT JOIN rule_days USING (source_table)""",
+    "configured_rules": f"""WITH {_CLEANABLE}
+SELECT 'ARCHIVE' AS target_owner, source_table || '_ARCH' AS target_table, CAST(day AS VARCHAR) AS preserve_date,
+       CASE WHEN source_table = 'EVENTS' OR day IS NULL THEN 'ERROR: execute failed' ELSE 'CORRECT' END AS preserve_calc
 FROM policy LEFT JOIN rule_days USING (source_table)""",
     "preserve_status": """
 SELECT * FROM (
@@ -523,6 +534,16 @@ SELECT {_KEY}, 'ARCHIVE' AS target_owner, source_table || '_ARCH' AS target_tabl
        CAST(CASE WHEN n % 4 = 0 THEN 5 WHEN n % 2 = 1 THEN 4 ELSE 3 END AS BIGINT) AS last_run_id,
        CASE WHEN n % 2 = 1 THEN 'load was cut off' END AS error_message
 FROM units JOIN counts USING (source_table, partition_hv, subpartition_hv) WHERE high IS NOT NULL""",
+    "rejected_events": f"""WITH {_UNITS},
+u AS (SELECT source_link, source_owner, source_table, partition_hv, subpartition_hv, high FROM units WHERE high IS NOT NULL),
+o AS (SELECT * FROM u WHERE source_table = 'ORDERS')
+SELECT {_KEY}, 0 AS seq, 'unit_key' AS constraint_name FROM o WHERE month(high) = 1
+UNION ALL SELECT {_KEY}, 1, 'quality_status_flag' FROM u WHERE source_table = 'LINEITEM' AND subpartition_hv = 'N'
+UNION ALL SELECT source_link, 'NOBODY', source_table, partition_hv, subpartition_hv, 2, 'unit_described' FROM o
+UNION ALL SELECT source_link, 'OTHER', source_table, partition_hv, subpartition_hv, 3, c
+FROM o, (VALUES ('unit_target_key'), ('unit_config_reference')) AS t(c)
+UNION ALL SELECT {_KEY}, 4, 'unit_run_reference' FROM o
+UNION ALL SELECT {_KEY}, 0, 'unit_target_key' FROM o WHERE month(high) = 1""",
     "compact_state": f"""WITH {_COUNTS}
 SELECT {_KEY}, 'ARCHIVE' AS target_owner, source_table || '_ARCH' AS target_table, {_DATES}, unit_type,
        CASE WHEN n % 2 = 1 THEN 'N' ELSE 'Y' END AS archive_status,
@@ -550,6 +571,21 @@ SELECT 'VAULT' AS source_link, 'ARCHIVE' AS source_owner, source_table || '_ARCH
        CASE WHEN kept_online THEN 'Y' ELSE 'N' END AS quality_status, 'N' AS purge_status,
        CASE WHEN kept_online THEN n END AS source_rows, CASE WHEN kept_online THEN n END AS target_rows,
        CASE WHEN kept_online THEN n ELSE 0 END AS target_held
+FROM followed""",
+    "run_replica_purge": f"""WITH {_RUN},
+window_days AS (
+  SELECT * FROM (VALUES ('ORDERS', 365, 100), ('LINEITEM', 365, 100), ('EVENTS', 7, 3)) AS t(source_table, first_days, then_days)
+),
+followed AS (
+  SELECT run.*, high > max(high) OVER (PARTITION BY source_table) - first_days AS loaded,
+         high <= max(high) OVER (PARTITION BY source_table) - then_days AS left_window
+  FROM run JOIN window_days USING (source_table) WHERE closed
+)
+SELECT 'VAULT' AS source_link, 'ARCHIVE' AS source_owner, source_table || '_ARCH' AS source_table, partition_hv,
+       subpartition_hv, CASE WHEN loaded THEN 'Y' ELSE 'N' END AS replica_status,
+       CASE WHEN loaded THEN 'Y' ELSE 'N' END AS quality_status, CASE WHEN loaded AND left_window THEN 'Y' ELSE 'N' END AS purge_status,
+       CASE WHEN loaded THEN n END AS source_rows, CASE WHEN loaded THEN n END AS target_rows,
+       CASE WHEN loaded AND NOT left_window THEN n ELSE 0 END AS target_held
 FROM followed""",
     "current_runs": f"""WITH {_RUNS}
 SELECT run_id, run_type, run_status, source_link, source_owner, source_table, mstr_log_id,

@@ -90,6 +90,23 @@ def list_subunits(spark, sf_dir):
     return shown(roles.catalog(spark, sf_dir, "EVENTS"), *UNIT_SHOWN, "position")
 
 
+@query
+def source_predicates(spark, sf_dir):
+    """Every source cut into five read partitions by the row counts of its units; rows that each partition's predicate
+    really reads."""
+    parts = []
+    for source, (_, key, list_col) in SOURCES.items():
+        units = roles.catalog(spark, sf_dir, source)
+        rows = roles.source_rows(spark, sf_dir, source)
+        counts = op.unit_row_counts(rows, units, key, list_col)
+        bins = settle(op.source_predicates(units, counts, 5, key, list_col), "bins")
+        for b in bins.orderBy("bin").collect():  # five texts, as a JDBC read needs them
+            read = rows.filter(b["predicate"]).agg(F.count(F.lit(1)).alias("rows_read"))
+            named = [F.lit(v).cast(t).alias(c) for c, v, t in (("source_table", source, "string"), ("bin", b["bin"], "int"), ("units", b["units"], "long"), ("n", b["n"], "long"))]
+            parts.append(read.select(*named, "rows_read"))
+    return roles.union(parts)
+
+
 @query
 def assign_units(spark, sf_dir):
     units = roles.catalog(spark, sf_dir, "LINEITEM")
@@ -364,6 +381,18 @@ def preserve_dates(spark, sf_dir):
     return shown(op.preserve_dates(roles.config(spark), rows), *TARGET, "preserve_rule", "preserve_date")
 
 
+@query
+def configured_rules(spark, sf_dir):
+    """Preserve rules as the config itself holds them: the days of every table, and what became of its rule."""
+    rules = roles.rules(spark, sf_dir)
+    texts = {table: text for (_, table), text in rules.items()} | {"EVENTS_ARCH": "SELECT no_such_column FROM rule_events"}
+    text = F.coalesce(*[F.when(F.col("target_table") == t, F.lit(r)) for t, r in texts.items()])
+    config = roles.config(spark).withColumn("preserve_rule", text)
+    rows = settle(op.configured_rules(config), "rule_rows")
+    days = op.preserve_dates(config, rows).select(*TARGET, "preserve_date")
+    return shown(days.join(op.preserve_status(config, rows), TARGET), *TARGET, "preserve_date", "preserve_calc")
+
+
 def _odd_rules(spark, sf_dir):
     """One rule that gives one date, one that starts with NULL, one that cannot be analysed."""
     roles.rules(spark, sf_dir)
@@ -611,6 +640,30 @@ def current_units(spark, sf_dir):
     return shown(ledger, *LEDGER_SHOWN, "unit_type", *ARCHIVE_STATE)
 
 
+@query
+def rejected_events(spark, sf_dir):
+    """A batch about a ledger that holds all units but those of the events: new units, and some that break a constraint.
+    Known units described again, a unit nobody described, an unknown status, another table's target and an unknown run."""
+    cats = roles.catalogs(spark, sf_dir)
+    cfg, at = roles.config(spark), roles.as_of()
+    units = settle(op.source_units(cfg, roles.union(cats.values())), "units")
+    held = settle(op.current_units(op.discover_events(units.filter("source_table <> 'EVENTS'"), ARCHIVE, 1, at), ARCHIVE), "held")
+    runs = spark.createDataFrame([(1,), (2,)], "run_id long")
+    fresh = units.filter("source_table = 'EVENTS'")
+    orders, lines = units.filter("source_table = 'ORDERS'"), units.filter("source_table = 'LINEITEM'")
+    batch = roles.union(
+        [
+            op.discover_events(fresh, ARCHIVE, 2, at),
+            op.discover_events(orders.filter("month(high) = 1"), ARCHIVE, 2, at),
+            op.unit_events(lines, ARCHIVE, 2, at, 1, quality_status=F.when(F.col("subpartition_hv") == "N", F.lit("?")).otherwise(F.lit("Y"))),
+            op.unit_events(orders.withColumn("source_owner", F.lit("NOBODY")), ARCHIVE, 2, at, 2, archive_status=F.lit("Y")),
+            op.discover_events(orders.withColumn("source_owner", F.lit("OTHER")), ARCHIVE, 2, at).withColumn("seq", F.lit(3)),
+            op.unit_events(orders, ARCHIVE, 9, at, 4, quality_status=F.lit("Y")),
+        ]
+    )
+    return op.rejected_events(settle(batch, "batch"), held, cfg, runs).select(*UNIT_KEY, "seq", "constraint_name")
+
+
 @query
 def compact_state(spark, sf_dir):
     """A ledger whose events came in batches is compacted, and so are batches that come after it; the ledger folded from
@@ -708,6 +761,32 @@ def run_replica(spark, sf_dir):
     return roles.union(parts).select(*UNIT_KEY, *REPLICA.statuses, "source_rows", "target_rows", "target_held")
 
 
+@query
+def run_replica_purge(spark, sf_dir):
+    """A replica run with wide windows, then one with windows of a few days and an executed purge: what has left the
+    windows is gone from the replica."""
+    life, bindings, database = _archive_run(spark, sf_dir, execute=True)
+    replicas = {}
+    for (owner, table), binding in bindings.items():
+        target = scratch_name(spark, f"{table.lower()}_repl")
+        op.create_unit_table(spark.table(binding.target), target)
+        replicas[(roles.REPLICA_OWNER, table.replace("_ARCH", "_REPL"))] = Binding(
+            SourceSpec("table", binding.target), target, binding.key, binding.list_col
+        )
+    wide = roles.replica_config(spark)
+    narrow = wide.withColumn("days_online", F.when(F.col("source_table") == "EVENTS_ARCH", 3).otherwise(100))
+    for cfg, purge in ((wide, False), (narrow, True)):
+        replica = ReplicaLifecycle(spark, database, cfg, replicas, _at, archive_ledger=life.ledger)
+        replica.run_all(execute=True, cleanup_execute=purge)
+    ledger = settle(replica.ledger(), "final_ledger")
+    parts = []
+    for (owner, table), binding in replicas.items():
+        units = ledger.filter((F.col("target_owner") == owner) & (F.col("target_table") == table))
+        held = op.stored_row_counts(spark.table(binding.target), units)
+        parts.append(units.join(held.withColumnRenamed("n", "target_held"), UNIT_KEY))
+    return roles.union(parts).select(*UNIT_KEY, *REPLICA.statuses, "source_rows", "target_rows", "target_held")
+
+
 # State folding and log.
 
 

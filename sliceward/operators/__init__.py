@@ -1,6 +1,6 @@
 """The lifecycle operators; every public function takes and returns DataFrames."""
 
-from sliceward.operators.assign import assign_units, laid_out_by_unit, unit_slice, unit_slices
+from sliceward.operators.assign import assign_units, laid_out_by_unit, source_predicates, unit_slice, unit_slices
 from sliceward.operators.candidates import (
     archivable,
     base_dates,
@@ -15,7 +15,7 @@ from sliceward.operators.candidates import (
     undiscovered,
 )
 from sliceward.operators.catalog import interval_units, list_subunits, unit_catalog
-from sliceward.operators.checks import ledger_violations, step_counters, step_summary
+from sliceward.operators.checks import ledger_violations, rejected_events, require_valid, step_counters, step_summary
 from sliceward.operators.counts import (
     day_histogram,
     reconcile_recorded,
@@ -43,6 +43,7 @@ from sliceward.operators.reports import (
     in_window,
     latest_summaries,
     latest_summary,
+    latest_summary_of,
     pending_work,
     process_summary,
     recent_issues,

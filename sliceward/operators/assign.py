@@ -238,3 +238,34 @@ def unit_slice(df: DataFrame, unit: Mapping, key: str, list_col: str | None = No
 def unit_slices(df: DataFrame, units: DataFrame, key: str, list_col: str | None = None) -> DataFrame:
     """S6 for many units: the rows of any of them."""
     return assign_units(df, units, key, list_col).drop(*HIGH_VALUES)
+
+
+def predicate_text(key: str, list_col: str | None = None) -> Column:
+    """The row predicate of a unit as SQL text, for sources that are read by predicates."""
+    quoted = F.transform("list_values", lambda v: F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("''")), F.lit("'")))
+    parts = [
+        F.coalesce(F.concat(F.lit(f"{key} >= DATE '"), F.col("low").cast("string"), F.lit("'")), F.lit(f"{key} IS NOT NULL")),
+        F.concat(F.lit(f"{key} < DATE '"), F.col("high").cast("string"), F.lit("'")),
+    ]
+    if list_col is not None:
+        parts.append(F.concat(F.lit(f"{list_col} IN ("), F.array_join(quoted, ", "), F.lit(")")))
+    return F.concat(F.lit("("), F.concat_ws(" AND ", *parts), F.lit(")"))
+
+
+def source_predicates(units: DataFrame, counts: DataFrame, bins: int, key: str, list_col: str | None = None) -> DataFrame:
+    """Read partitions for ``units``: bin, units, n and predicate, no two bins apart by more rows than the largest unit.
+
+    counts: (unit key, n), from a catalog, a ledger or an estimate. Units are dealt in turn by falling count: of two bins
+    the one that gets its unit first in each turn gets, turn by turn, at least what the other has, and no more than that
+    plus what the next turn takes off again, so they differ by at most one unit's rows. Every unit is in one bin, so
+    each row of the units is read once; a bin without units is left out. The window runs over the catalog's rows, not over
+    data. ``read_source`` takes the predicates for JDBC.
+    """
+    counted = units.join(counts.select(*HIGH_VALUES, "n"), HIGH_VALUES, "left").fillna(0, ["n"])
+    turn = F.row_number().over(Window.orderBy(F.desc("n"), *HIGH_VALUES)) - 1
+    dealt = counted.withColumns({"bin": F.pmod(turn, F.lit(bins)), "predicate": predicate_text(key, list_col)})
+    return dealt.groupBy("bin").agg(
+        F.count(F.lit(1)).alias("units"),
+        F.sum("n").alias("n"),
+        F.array_join(F.sort_array(F.collect_list("predicate")), " OR ").alias("predicate"),
+    )

@@ -68,7 +68,7 @@ def step_note(step: str, layer: Layer, execute: bool) -> Column:
     if step == "DISCOVER":
         return F.col("unit_type")
     if step == layer.load_step:
-        return F.lit("EXCHANGED")
+        return F.lit("EXCHANGED" if execute else "PREVIEW")
     if step == "QUALITY":
         return F.when(F.col("quality_status") == "Y", "OK").otherwise("MISMATCH")
     if step == "PURGE":
@@ -171,3 +171,58 @@ def ledger_violations(ledger: DataFrame, config: DataFrame, runs: DataFrame, lay
         F.count(F.lit(1)).alias("n")
     )
     return reduce(DataFrame.unionByName, counted, rows)
+
+
+def rejected_events(
+    events: DataFrame, ledger: DataFrame, config: DataFrame, runs: DataFrame, layer: Layer = ARCHIVE
+) -> DataFrame:
+    """A6 before a write: every event of a batch that would break a constraint of the ledger, as (unit key, seq,
+    constraint_name).
+
+    events: ledger events; one with a unit_type describes a new unit. ledger, config, runs: the state the batch meets.
+    What an event does not say is not checked. A NULL part of the unit key, a unit that is described though it is known or
+    twice, two units with one target, an event about a unit that neither the ledger nor the batch describes, and a unit or
+    run without its config or run row are rejected. An empty batch has nothing to reject.
+    """
+    said = {s: F.col(s).isNull() | F.col(s).isin("Y", "N") for s in layer.statuses}
+    whole = F.col("unit_type") == PARTITION
+    rules = {
+        "unit_key_known": reduce(Column.__and__, [F.col(c).isNotNull() for c in UNIT_KEY]),
+        "unit_type": F.col("unit_type").isNull() | F.col("unit_type").isin(PARTITION, SUBPARTITION),
+        "subpartition_hv_mark": F.col("unit_type").isNull() | (whole == (F.col("subpartition_hv") == NO_SUBPARTITION)),
+        **{f"{s}_flag": rule for s, rule in said.items()},
+    }
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in rules.items()]))
+    key = [*UNIT_KEY, "seq"]
+    new = events.filter(F.col("unit_type").isNotNull())
+
+    def found(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(*key, F.lit(name).alias("constraint_name"))
+
+    def twice(columns: list[str]) -> DataFrame:
+        counts = new.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*columns)
+        return new.join(counts, columns, "left_semi")
+
+    target = TARGET + HIGH_VALUES
+    other = ledger.select(*target, *[F.col(c).alias(f"held_{c}") for c in UNIT_KEY if c not in HIGH_VALUES])
+    differs = reduce(Column.__or__, [F.col(c) != F.col(f"held_{c}") for c in UNIT_KEY if c not in HIGH_VALUES])
+    described = ledger.select(*UNIT_KEY).unionByName(new.select(*UNIT_KEY))
+    parts = [
+        events.select(*key, F.explode(broken).alias("constraint_name")),
+        found(new.join(ledger.select(*UNIT_KEY), UNIT_KEY, "left_semi"), "unit_key"),
+        found(twice(UNIT_KEY), "unit_key"),
+        found(new.join(other, target).filter(differs), "unit_target_key"),
+        found(twice(target).join(twice(UNIT_KEY).select(*UNIT_KEY).distinct(), UNIT_KEY, "left_anti"), "unit_target_key"),
+        found(events.dropna(subset=UNIT_KEY).join(described, UNIT_KEY, "left_anti"), "unit_described"),
+        found(new.dropna(subset=SOURCE).join(config.select(*SOURCE), SOURCE, "left_anti"), "unit_config_reference"),
+        found(events.join(runs.select(F.col("run_id").alias("last_run_id")), "last_run_id", "left_anti"), "unit_run_reference"),
+    ]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def require_valid(events: DataFrame, ledger: DataFrame, config: DataFrame, runs: DataFrame, layer: Layer = ARCHIVE) -> None:
+    """Raise if a batch has an event that would break a constraint. The batch should be stored rows."""
+    rejected = rejected_events(events, ledger, config, runs, layer)
+    first = rejected.orderBy("constraint_name", *UNIT_KEY, "seq").first()
+    if first is not None:
+        raise ValueError(f"a batch of events was not appended: {first['constraint_name']} is broken for {tuple(first)[:-2]}, among others")

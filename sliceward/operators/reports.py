@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sliceward.functions import stamp, strip_text, text_or_null
+from sliceward.operators.state import LOG_KEY, consolidate_log, last_scalars, shown_entries
 from sliceward.schema import ARCHIVE, SOURCE, TARGET, Layer
 
 # Report settings.
@@ -186,6 +187,27 @@ def latest_summary(
     )
 
 
+def latest_summary_of(
+    log_events: DataFrame,
+    process: str,
+    layer: Layer = ARCHIVE,
+    begin: str = SUMMARY_BEGIN,
+    end: str = SUMMARY_END,
+) -> DataFrame:
+    """G8 from the events of the log: the newest log that carries a summary is found first, by its scalars and by which
+    entries hold the marks, and only the text of that one log is put together."""
+    if process.strip().upper() not in layer.processes:
+        raise ValueError(f"invalid {layer.name} process: {process}")
+    holds = [F.max(F.coalesce(F.instr("log_msg", mark) > 0, F.lit(False))).alias(name) for name, mark in (("begins", begin), ("ends", end))]
+    keyed = shown_entries(log_events).groupBy(*LOG_KEY).agg(*last_scalars(), F.min("event_ts").alias("first_ts"), *holds)
+    started = F.coalesce(F.col("start_date.said"), F.col("first_ts"))
+    wanted = keyed.filter((F.col("log_categ.said") == process.strip().upper()) & F.col("begins") & F.col("ends"))
+    newest = wanted.select(*LOG_KEY, started.alias("started")).orderBy(F.desc("started"), F.desc("log_id")).limit(1)
+    own = F.coalesce("mstr_log_id", "log_id").eqNullSafe(F.col("__master")) & (F.col("log_id") == F.col("__log"))
+    one = newest.select(F.col("mstr_log_id").alias("__master"), F.col("log_id").alias("__log"))
+    return latest_summary(consolidate_log(log_events.join(F.broadcast(one), own, "left_semi")), process, layer, begin, end)
+
+
 def data_status(ledger: DataFrame, layer: Layer = ARCHIVE) -> DataFrame:
     """State of every target table."""
     load, cleanup = F.col(layer.load_status), F.col(layer.cleanup_status)

@@ -133,52 +133,65 @@ def current_runs(run_events: DataFrame) -> DataFrame:
     )
 
 
-def consolidate_log(log_events: DataFrame, debug: bool = False) -> DataFrame:
-    """one row per (master id, log id).
+LOG_KEY = ["mstr_log_id", "log_id"]
+LOG_ORDER = ("event_ts", "seq", "entry_key")
+LOG_SCALARS = ["log_categ", "mstr_fun", "log_status", "start_date", "end_date", "last_err_code", "last_err_desc"]
 
-    Scalars keep their last known value. Messages are appended in event order to one text and one JSON array.
-    The text of a log is a single value by definition, but it is put together in two steps: entries are first
-    joined per minute of the log, then the minutes are joined. A log with most of the entries is thus sorted and
-    joined by many tasks, and only finished pieces meet in the last one.
-    """
+
+def shown_entries(log_events: DataFrame, debug: bool = False) -> DataFrame:
+    """The entries that a log shows, with their key and type filled in."""
     shown = F.coalesce(F.col("log_level"), F.lit("N")) == "N"
     if debug:
         shown = shown | (F.col("log_level") == "D")
-    order = ("event_ts", "seq", "entry_key")
-    logged = log_events.filter(shown & F.col("log_id").isNotNull()).withColumns(
+    return log_events.filter(shown & F.col("log_id").isNotNull()).withColumns(
         {
             "mstr_log_id": F.coalesce("mstr_log_id", "log_id"),
             "log_type": F.coalesce("log_type", F.lit("TEXT")),
             "last_err_desc": F.substring("last_err_desc", 1, ERROR_TEXT_LENGTH),
         }
     )
-    key = ["mstr_log_id", "log_id"]
+
+
+def last_scalars() -> list[Column]:
+    """The last known value of each scalar of a log, with its place in the order."""
+    return [F.max(F.when(F.col(c).isNotNull(), F.struct(*LOG_ORDER, F.col(c).alias("said")))).alias(c) for c in LOG_SCALARS]
+
+
+def consolidate_log(log_events: DataFrame, debug: bool = False) -> DataFrame:
+    """one row per (master id, log id).
+
+    Scalars keep their last known value. Messages are appended in event order to one text and one JSON array.
+    The text of a log is a single value by definition, but it is put together from pieces: entries are dealt by ranges of
+    (log, event order), a piece is what one range holds of a log, pieces are joined by many tasks and only finished ones
+    meet in the last. So a log with most of the entries is cut into many pieces, also where all of its entries are of one
+    moment, and logs with few entries stay whole.
+    """
+    logged = shown_entries(log_events, debug)
+    key, order = LOG_KEY, LOG_ORDER
     day = log_stamp(F.col("event_ts"))
     message = F.coalesce("log_msg", F.lit(""))
     text = F.when(F.col("log_type") == "SUMMARY", F.concat(message, F.lit("\n"))).otherwise(
         F.concat(F.lit("\n"), day, F.lit(" | "), message, F.lit("\n"))
     )
     entry = F.struct(F.col("log_type").alias("type"), day.alias("timestamp"), message.alias("message"))
-    scalars = ["log_categ", "mstr_fun", "log_status", "start_date", "end_date", "last_err_code", "last_err_desc"]
-
-    per_minute = logged.groupBy(*key, F.substring(stamp(F.col("event_ts")), 1, 16).alias("minute")).agg(
+    ranges = int(log_events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = logged.repartitionByRange(ranges, *key, *order).withColumn("range", F.spark_partition_id())
+    per_range = dealt.groupBy(*key, "range").agg(
         F.array_sort(
             F.collect_list(F.struct(*order, text.alias("text"), F.to_json(entry).alias("json")))
         ).alias("entries"),
-        *[
-            F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("said")))).alias(c)
-            for c in scalars
-        ],
+        *last_scalars(),
         F.min("event_ts").alias("first_ts"),
     )
-    pieces = per_minute.withColumns(
+    pieces = per_range.withColumns(
         {
             "text": F.array_join(F.transform("entries", lambda e: e["text"]), ""),
             "json": F.array_join(F.transform("entries", lambda e: e["json"]), ","),
         }
     ).drop("entries")
+    scalars = LOG_SCALARS
     logs = pieces.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("minute", "text", "json"))).alias("pieces"),
+        F.array_sort(F.collect_list(F.struct("range", "text", "json"))).alias("pieces"),
         *[F.max(c)["said"].alias(c) for c in scalars],
         F.min("first_ts").alias("first_ts"),
     )

@@ -35,11 +35,13 @@ from sliceward.schema import (
     Layer,
     ledger_event_schema,
 )
-from sliceward.sources import SourceSpec, append_state, compact_state, for_each_table, read_source, settle
+from sliceward.sources import SourceSpec, append_state, claim, compact_state, for_each_table, read_source, release, settle
 from sliceward.sources.stored import BATCH
 
 #: Batches of a state table above which a run leaves a snapshot behind.
 MOST_BATCHES = 16
+#: Age of a run whose claims no longer count.
+LEASE = timedelta(days=2)
 
 
 @dataclass(frozen=True)
@@ -67,6 +69,7 @@ class Run:
     status: str = "SUCCESS"
     messages: list[str] = field(default_factory=list)
     summary: DataFrame | None = None
+    left_to_others: bool = False
 
 
 def _new_id() -> int:
@@ -105,6 +108,7 @@ class Lifecycle:
         self.unit_events_table = f"{database}.{self.layer.name}_unit_events"
         self.run_events_table = f"{database}.{self.layer.name}_run_events"
         self.log_events_table = f"{database}.{self.layer.name}_log_events"
+        self.claims_table = f"{database}.{self.layer.name}_claims"
 
     # State.
 
@@ -132,6 +136,10 @@ class Lifecycle:
         recent = entries.filter(F.col("log_month") >= f"{since:%Y-%m}")
         return op.consolidate_log(recent).filter(F.col("start_date") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
 
+    def latest_summary(self, process: str) -> DataFrame:
+        """The newest summary of a process; only its own log is put together."""
+        return op.latest_summary_of(self.log_events(), process, self.layer)
+
     def report(self, as_of: datetime, lookback_days: int = LOOKBACK_DAYS) -> dict[str, DataFrame]:
         """The summary report of the layer at a point in time, over settled state."""
         log = settle(self.log(as_of - timedelta(days=lookback_days)), "report_log")
@@ -259,7 +267,7 @@ class Lifecycle:
         """Counters to the log, summary rows to the log and to the caller."""
         totals = step_counters(units, step, self.layer, execute).first()
         run.messages.append(f"{step} " + " ".join(f"{c}={totals[c]}" for c in totals.asDict() if c != "step"))
-        run.status = totals["run_status"]
+        run.status = "WARNING" if run.left_to_others else totals["run_status"]
         summary = step_summary(units, step, self.layer, execute)
         if log and totals["units"]:
             run.summary = summary
@@ -285,6 +293,31 @@ class Lifecycle:
             )
         return expired
 
+    # Claims.
+
+    @contextmanager
+    def _claimed(self, run: Run, name: str) -> Iterator[bool]:
+        """Whether the run may replace units of a target: no other run that still goes on works on it.
+
+        The claim of a run that has ended, or that began longer than LEASE ago, is taken over.
+        """
+        holder = claim(self.spark, self.claims_table, name, run.run_id)
+        if holder != run.run_id and self._over(holder):
+            release(self.spark, self.claims_table, name)
+            holder = claim(self.spark, self.claims_table, name, run.run_id)
+        if holder != run.run_id:
+            run.messages.append(f"{name} is claimed by run {holder}; its units are left to it")
+            run.left_to_others = True
+        try:
+            yield holder == run.run_id
+        finally:
+            if holder == run.run_id:
+                release(self.spark, self.claims_table, name)
+
+    def _over(self, run_id: int) -> bool:
+        held = self.runs().filter(F.col("run_id") == run_id).select("run_status", "started_at").first()
+        return held is None or held["run_status"] != "RUNNING" or held["started_at"] < self.clock() - LEASE
+
     # Steps.
 
     def _tables(self, units: DataFrame) -> list[tuple[Binding, DataFrame]]:
@@ -330,7 +363,9 @@ class Lifecycle:
             if lost is not None and execute:
                 raise ValueError(f"target subpartition not found by list value for {tuple(lost)}")
             if execute:
-                self.append_units(op.discover_events(units, self.layer, run.run_id, self._now()))
+                events = settle(op.discover_events(units, self.layer, run.run_id, self._now()), "discovered")
+                op.require_valid(events, self.ledger(), self.config, self.runs(), self.layer)
+                self.append_units(events)
             state = units.withColumns(
                 {
                     **{s: F.lit("N") for s in self.layer.statuses},
@@ -347,10 +382,23 @@ class Lifecycle:
             units = settle(op.scope(self._loadable(), target_owner, target_table), "loadable")
             state = units
             if execute:
-                state = self._each(units, lambda binding, of_table: self._load_table(run, binding, of_table))
-                state = state.withColumns({self.layer.load_status: F.lit("Y"), "quality_status": F.lit("N")})
+                state = self._each(units, lambda binding, of_table: self._load_claimed(run, binding, of_table))
             return self._report(run, step, state, execute, log=execute)
 
+    def _load_claimed(self, run: Run, binding: Binding, units: DataFrame) -> DataFrame:
+        """Load the units of one table that are still due once the table is claimed; what another run has claimed stays
+        as it is, what one has loaded meanwhile is left out."""
+        with self._claimed(run, binding.target) as mine:
+            if not mine:
+                return units
+            due = settle(units.join(self._loadable().select(*UNIT_KEY), UNIT_KEY, "left_semi").select(*units.columns), "due")
+            gone = units.count() - due.count()
+            if gone:
+                run.messages.append(f"{gone} units of {binding.target} were loaded by another run meanwhile")
+                run.left_to_others = True
+            loaded = self._load_table(run, binding, due)
+            return loaded.withColumns({self.layer.load_status: F.lit("Y"), "quality_status": F.lit("N")})
+
     def _load_table(self, run: Run, binding: Binding, units: DataFrame) -> DataFrame:
         self.append_units(op.mark_units(units, self.layer, "N", run.run_id, self._now(), seq=0))
         source = read_source(self.spark, binding.source)

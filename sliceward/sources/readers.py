@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -13,21 +14,33 @@ class SourceSpec:
     """Where a table is read from.
 
     kind 'table' reads a catalog table, 'jdbc' a table of another database, anything else is the name of a
-    file format. A JDBC read needs ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``:
-    without them Spark pulls the whole table through one task.
+    file format. A JDBC read needs ``predicates``, one per partition (``source_predicates`` makes them from units), or
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``: without them Spark pulls the whole table
+    through one task. Other kinds are cut down to the rows for which one of the predicates holds.
     """
 
     kind: str
     location: str
     options: Mapping[str, str] = field(default_factory=dict)
+    predicates: tuple[str, ...] = ()
 
 
 _JDBC_SPLIT = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    if spec.predicates and spec.kind != "jdbc":
+        return _read(spark, spec).filter(F.expr(" OR ".join(spec.predicates)))
+    return _read(spark, spec)
+
+
+def _read(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.kind == "table":
         return spark.table(spec.location)
+    if spec.kind == "jdbc" and spec.predicates:
+        url = spec.options["url"]
+        others = {k: v for k, v in spec.options.items() if k != "url"}
+        return spark.read.jdbc(url, spec.location, predicates=list(spec.predicates), properties=others)
     if spec.kind == "jdbc":
         missing = [o for o in _JDBC_SPLIT if o not in spec.options]
         if missing:

@@ -10,6 +10,7 @@ from itertools import islice
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -91,6 +92,32 @@ def compact_state(spark: SparkSession, table: str, survivors: Callable[[DataFram
     return count
 
 
+def claim(spark: SparkSession, table: str, name: str, holder: int) -> int:
+    """Who holds ``name`` now: ``holder``, if nobody held it before.
+
+    A claim is a partition of a table without rows. The catalog adds a partition once, whoever asks at the same time, so
+    of several runs one gets it; the partition's location names its holder.
+    """
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (note string, name string) USING parquet PARTITIONED BY (name)")
+    folder = spark.catalog.getDatabase(table.rpartition(".")[0]).locationUri.rstrip("/")
+    try:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION (name = '{name}') LOCATION '{folder}/claims/holder={holder}'")
+        return holder
+    except PySparkException as problem:
+        if "PARTITIONS_ALREADY_EXIST" not in str(problem):
+            raise
+    try:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (name = '{name}')")
+        location = described.filter("col_name = 'Location'").select("data_type").first()[0]
+        return int(location.rpartition("holder=")[2])
+    except PySparkException:  # released meanwhile
+        return claim(spark, table, name, holder)
+
+
+def release(spark: SparkSession, table: str, name: str) -> None:
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (name = '{name}')")
+
+
 def require_partition_overwrite(spark: SparkSession, table: str) -> None:
     """Refuse a table whose overwrite would replace all partitions instead of those written."""
     if spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "DYNAMIC":
