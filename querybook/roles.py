@@ -75,7 +75,7 @@ def partitions(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         F.concat(F.lit("DATE '"), F.col("high").cast("string"), F.lit("'")).alias("high_value"),
         F.col("high").alias("sort_day"),
     )
-    # The two catch-all bounds exist once the table holds any row.
+    # The two catch-all bounds exist once the table holds any row. Fixed value: the text of the lower one.
     error_high = "TO_DATE(' 1800-01-01 00:00:00', 'SYYYY-MM-DD HH24:MI:SS')"
     ends = (
         highs.limit(1)

@@ -63,7 +63,7 @@ def _known_step(step: str, layer: Layer) -> None:
 
 
 def step_note(step: str, layer: Layer, execute: bool) -> Column:
-    """First cell of a summary row: what happened to the unit."""
+    """First cell of a summary row: what happened to the unit. The texts of the notes."""
     _known_step(step, layer)
     if step == "DISCOVER":
         return F.col("unit_type")

@@ -10,6 +10,7 @@ from sliceward.operators.catalog import UNIT_COLUMNS
 from sliceward.sources import settle
 
 LINK = "SRC_LINK"
+# Those of the demo tables.
 OPEN, DONE = ["NEW", "PAID"], ["SHIPPED", "CLOSED"]
 EOD = "2026-06-01"
 
@@ -42,6 +43,7 @@ GOLDEN = {
 GOLDEN_DAILY = {"P20240501": (24, 0), "P20240502": (0, 24), "P20240503": (0, 24), "P20240504": (24, 0)}
 
 # Rows, base customer id, first amount, amount step.
+# Those of the demo tables.
 SIZES = {
     ("CLIENT1", "ORDERS_ARCH_SRC"): (430, 1000, 10, 1.37),
     ("CLIENT2", "ORDERS_ARCH_SRC"): (250, 1000, 10, 1.37),
