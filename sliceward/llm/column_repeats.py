@@ -115,39 +115,45 @@ def remove_byte_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHO
             doc = np.searchsorted(at, begin, side="right") - 1 + low
             yield offsets[low], part, sums, roll, begin, last + width, doc, place[heads], key[place[heads]]
 
-    def minimizers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct keys of the chunk, which key each string has, and its document."""
-        found = [(x[8], x[6]) for x in strings(rows)]
-        key = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.uint64)
-        doc = np.concatenate([x[1] for x in found]) if found else np.zeros(0, np.int64)
+    def minimizers(rows: pa.Table, whole: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct keys of the chunk, which key each string has, its document and, if asked, the string's hash."""
+        found = []
+        for _, _, sums, roll, begin, end, doc, place, key in strings(rows):
+            own = T.mix(roll.spans(sums, begin, end) + (place - begin).astype(np.uint64)) if whole else key
+            found.append((key, doc, own))
+        key, doc, own = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, t) for t in (np.uint64, np.int64, np.uint64)]
         shard = (key >> np.uint64(32)) % np.uint64(n)
         known, which = np.unique((shard << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF)), return_inverse=True)
-        return known, which, doc
+        return known, which, doc, own
 
     def ask_minimizers(rows: pa.Table, _) -> pa.Table:
-        known, which, doc = minimizers(rows)
+        known, which, doc, own = minimizers(rows, whole=True)
         ids = P.by_id(rows)[doc]
         low = np.full(len(known), np.iinfo(np.int64).max)
         high = np.full(len(known), np.iinfo(np.int64).min)
         np.minimum.at(low, which, ids)
         np.maximum.at(high, which, ids)
-        times = np.minimum(np.bincount(which, minlength=len(known)), 127).astype(np.uint8)
+        # Equal strings of a chunk are sent once, so it is the different ones that fill a shard.
+        order = np.lexsort((own, which))
+        new = (np.diff(which[order], prepend=-1) != 0) | (np.diff(own[order], prepend=np.uint64(0)) != 0)
+        times = np.bincount(which[order][new], minlength=len(known)).astype(np.uint32)
         shard = (known >> np.uint64(32)).astype(np.int64)
-        return P.routed(P.chunk_of(rows), shard, [known.astype(np.uint32)], [times | ((low < high).astype(np.uint8) << 7)])
+        told = times << np.uint32(1) | (low < high).astype(np.uint32)
+        return P.routed(P.chunk_of(rows), shard, [known.astype(np.uint32)], [told])
 
     def find_shared(table: pa.Table) -> pa.Table:
         """0: in one document; 1: in several; 2: in several and hot."""
         keys = [np.frombuffer(x, np.uint32) for x in table["keys"].to_pylist()]
-        flags = np.frombuffer(b"".join(zlib.decompress(x) for x in table["extra"].to_pylist()), np.uint8)
+        told = np.frombuffer(b"".join(zlib.decompress(x) for x in table["extra"].to_pylist()), np.uint32)
         known, which, rows = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         shared = rows > 1
-        shared[which[flags >= 128]] = True
-        many = np.bincount(which, weights=flags & 127, minlength=len(known)) > hot
+        shared[which[told & np.uint32(1) == 1]] = True
+        many = np.bincount(which, weights=told >> np.uint32(1), minlength=len(known)) > hot
         return P.answered(table, [len(k) for k in keys], np.where(shared, 1 + many, 0)[which].astype(np.uint8))
 
     def pieces(rows: pa.Table, answers: pa.Table) -> tuple:
         """Strings to compare, sorted by shard and hash: where they start and end in the chunk, document, first column."""
-        known, which, _ = minimizers(rows)
+        known, which, *_ = minimizers(rows)
         state = P.in_order(answers, np.uint8)[which] if len(known) else np.zeros(0, np.uint8)
         made, done = [], 0
         for base, _, sums, roll, begin, end, doc, place, key in strings(rows):
