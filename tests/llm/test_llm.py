@@ -123,6 +123,30 @@ def test_column_repeats_equal_brute_force(spark, odd, hot, small_chunks):
         assert found == want
 
 
+def test_a_line_of_many_documents_is_hot_within_one_chunk(spark, monkeypatch):
+    """Counts of strings are whole, so a minimizer is hot however few chunks there are; equal strings count once."""
+    line = " ".join(f"boilerplate{i}" for i in range(6))
+    texts = [(i, f"start {i * 7919} {line} finish {i * 104729}") for i in range(300)] + [(1000 + i, "the same text " * 9) for i in range(300)]
+    told = []
+    answered = column_repeats.P.answered
+    monkeypatch.setattr(column_repeats.P, "answered", lambda table, sizes, values: told.append(values) or answered(table, sizes, values))
+    rows = column_repeats.pa.table({"__chunk": [0] * len(texts), "__id": [t[0] for t in texts], "__text": [t[1] for t in texts]})
+
+    def at_once(chunks_, asking, answering, told=None):
+        return answering(asking(rows, told))
+
+    monkeypatch.setattr(column_repeats.C, "chunked", lambda docs: chunks.Chunked(docs, 1))
+    monkeypatch.setattr(column_repeats.C, "ask", at_once)
+    monkeypatch.setattr(column_repeats.C, "together", lambda a, b: column_repeats.pa.concat_tables([a, second(b)]))
+    monkeypatch.setattr(column_repeats.C, "both", lambda chunks_, answers, work, schema: work(rows, answers))
+    second = lambda b: b.set_column(1, "shard", column_repeats.pa.compute.add(b["shard"], column_repeats.P.SECOND).cast("int32"))
+    found = column_repeats.remove_byte_repeats(None, hot=250).to_pylist()
+    assert (told[0] == 2).any(), "300 different strings around one line are hot"
+    assert (told[0] == 1).any(), "300 equal texts are not"
+    want = windows_removed(texts, lambda t: t.encode(), 50)
+    assert [(r["doc_id"], r["n_removed"]) for r in found] == [(i, sum(gone)) for i, _, gone in want]
+
+
 def test_common_prefixes_are_those_of_sorted_strings():
     rng = np.random.default_rng(1)
     columns = rng.integers(0, 2, (12, 60)).astype(np.uint8)
@@ -401,6 +425,40 @@ def test_top_k_equals_brute_force(spark, small_chunks):
     assert found == want and len(found) == 20
 
 
+def test_pivots_lose_no_document():
+    """Any threshold up to the k-th score leaves the top k as they are by plain addition."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(1, 60)) if x < 500) for _ in range(700)]
+    texts[50:90] = [texts[49]] * 40
+    texts[3] = ""
+    terms = blockmax_topk.Terms(blockmax_topk.pa.table({"__text": texts}), 7)
+    assert (np.diff(terms.shard) >= 0).all() and terms.shard.max() < 7
+    index = blockmax_topk.Index(terms, 20.0)
+    held = np.bincount(terms.term)
+    weight = np.log1p((len(texts) - held + 0.5) / (held + 0.5))
+    plain = np.zeros((len(texts), len(held)))
+    norm = blockmax_topk.K1 * (1 - blockmax_topk.B + blockmax_topk.B * terms.lengths / 20.0)
+    plain[terms.doc, terms.term] = terms.tf * (blockmax_topk.K1 + 1) / (terms.tf + norm[terms.doc])
+    for q in (0, 1, 2, 49, 60, 300, 699):
+        own = terms.term[terms.doc == q]
+        score = np.round(plain[:, own] @ weight[own], 9)
+        kth = np.sort(score)[-10]
+        for least in (0.0, kth / 2, kth * (1 - 1e-9)):
+            place, got = blockmax_topk.best(index, own, weight[own], 10, least)
+            doc = index.docs[place]
+            assert np.array_equal(np.round(got, 9), score[doc])
+            assert {*np.flatnonzero((score >= kth) & (score > 0)).tolist()} <= {*doc.tolist()}
+
+
+def test_many_copies_give_k_rows_a_query(spark, small_chunks):
+    text = "one text that very many documents share"
+    docs = spark.createDataFrame([(i, text) for i in range(400)] + [(900, "share nothing else"), (None, text)], "doc_id long, text string")
+    found = [tuple(r)[:3] for r in blockmax_topk.search(docs).collect()]
+    want = [(q, r, r - 1) for q in (0, 100, 200, 300) for r in range(1, 11)]
+    assert sorted(x for x in found if x[0] != 900) == want
+    assert sorted(x for x in found if x[0] == 900) == [(900, 1, 900)] + [(900, r, r - 2) for r in range(2, 11)]
+
+
 def test_latent_retrieval_recall_and_checks(spark, odd):
     docs, items = sf(spark), sf(spark, "benchmark")
     found = {(r.id, r.item_id) for r in latent_decontamination.leaks(docs, items).collect()}
