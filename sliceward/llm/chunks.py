@@ -65,7 +65,7 @@ def chunked(docs: DataFrame, carry: bool = False, chunk_bytes: int = CHUNK_BYTES
         *rest,
     )
     name = scratch_name(docs.sparkSession, "chunks")
-    rows.write.format("parquet").bucketBy(n, "__chunk").saveAsTable(name)
+    rows.write.format("parquet").option("compression", "zstd").bucketBy(n, "__chunk").saveAsTable(name)
     return Chunked(docs.sparkSession.table(name), n)
 
 
