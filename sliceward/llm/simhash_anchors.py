@@ -126,15 +126,19 @@ def links(fps: DataFrame, threshold: int = THRESHOLD, blocks: int = 3, tile: int
     )
 
     def forest(members: np.ndarray, homes: np.ndarray, into: list[tuple[int, int]]) -> None:
-        """Unite what is linked; hand on one pair for each two parts that come together."""
-        part = np.arange(len(members))
-        for h in homes:
+        """Unite what is linked; hand on one pair for each two parts that come together.
+
+        Of a split anchor, those at home are members too, though another tile may hold what their tile received of them.
+        """
+        whole = np.concatenate((members, homes[~np.isin(homes, members)]))
+        part, order = np.arange(len(whole)), np.argsort(whole)
+        for h, own in zip(homes, order[np.searchsorted(whole, homes, sorter=order)], strict=True):
             near = np.flatnonzero(np.bitwise_count(members ^ h) <= threshold)
-            if len(near) < 2:
+            if not len(near) or len(near) == 1 and near[0] == own:
                 continue
-            parts = np.unique(part[near])
+            parts = np.unique(part[np.append(near, own)])
             if len(parts) > 1:
-                into.extend((int(members[parts[0]]), int(members[p])) for p in parts[1:])
+                into.extend((int(whole[parts[0]]), int(whole[p])) for p in parts[1:])
                 part[np.isin(part, parts)] = parts[0]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +150,7 @@ def links(fps: DataFrame, threshold: int = THRESHOLD, blocks: int = 3, tile: int
         def close() -> None:
             fp = np.concatenate([x[0] for x in held])
             home = np.concatenate([x[1] for x in held])
-            if home.any() and len(fp) > 2:
+            if home.any() and not home.all():
                 forest(fp[~home], fp[home], found)
 
         def out() -> pa.RecordBatch:

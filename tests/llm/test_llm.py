@@ -207,6 +207,22 @@ def test_anchors_lose_no_link(spark, tile):
     assert pairs.count() < 45 * len(signed)
 
 
+@pytest.mark.parametrize("tile", [1, 3])
+def test_split_anchors_lose_no_link(spark, tile):
+    """Pairs of four different bits and small clouds at anchors that are all split, so that most tiles hold one end of a link alone."""
+    rng = np.random.default_rng(6)
+    made = set()
+    for centre in rng.integers(0, 1 << 63, 40, dtype=np.uint64).tolist():
+        made.add(int(centre))
+        for _ in range(int(rng.integers(1, 4))):
+            flips = rng.choice(64, 4, replace=False)
+            made.add(int(centre) ^ sum(1 << int(f) for f in flips))
+    signed = [x - (1 << 64) if x >> 63 else x for x in made]
+    pairs = simhash_anchors.links(spark.createDataFrame([(x,) for x in signed], "fp long"), tile=tile)
+    found = {r.node: r.root for r in simhash_anchors.components(pairs).collect()}
+    assert {v: found.get(v, v) for v in signed} == roots(signed, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 4)
+
+
 def test_one_document_of_a_group_stays(spark, odd):
     kept = simhash_anchors.keep_one(odd)
     assert kept.columns == odd.columns
