@@ -358,6 +358,16 @@ def test_kneser_ney_keeps_good_documents(spark):
     assert len(good) > 50 and sum(good) >= 0.95 * len(good)
 
 
+def test_kneser_ney_learns_from_every_trusted_row(spark):
+    """More trusted rows than a sample of some thousand, each with a word of its own."""
+    rows = [(i, f"own{i} some words that all have and w{i % 97}", "en") for i in range(7_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    good = docs.select("doc_id", F.lit(1).alias("quality"))
+    found = {r.doc_id: r.perplexity for r in kneser_ney_quality.judge(docs, good).collect()}
+    whole = kneser_ney_quality.perplexities(docs, docs.filter(~kneser_ney_quality.held_out()))
+    assert found == pytest.approx({r.doc_id: r.perplexity for r in whole.collect()}, rel=1e-6)
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity_pu.classify(docs, labels).join(labels, "doc_id").filter("held_out").collect()
