@@ -3,15 +3,17 @@
 Texts are cut into overlapping passages of two blocks of words. Passages are TF-IDF vectors over hashed words (a word
 counts once in a block, so that a repeated mark does not drown the rest); document
 frequencies are counted over all documents. A randomised singular value decomposition (range finder with power
-iterations) of the benchmark's passages and a bounded sample of documents' passages gives the latent space: tasks
-multiply their rows, and the sums of their products are added up in Spark by blocks of features. The space is spanned by
-the features that items have, as no other one can bring a passage nearer to an item. Every passage is projected, its cosine with every benchmark item decides whether it is a candidate, and candidates are
+iterations) of the benchmark's passages and all documents' passages gives the latent space. The same scan that counts
+frequencies counts, exactly and in whole numbers, the products of the passages' rows, as the weights can follow; Spark
+adds them up by blocks of features, and the range finder multiplies by these blocks. The space is spanned by the
+features that items have, as no other one can bring a passage nearer to an item. Every passage is projected, its cosine with every benchmark item decides whether it is a candidate, and candidates are
 checked at once, where their words are: by the longest common subsequence with the item and by the share of the item's
 answer words that the place holds.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,8 @@ from sliceward.sources.stored import settle
 BLOCK = 24
 #: Bits of a word's hash that make its feature; dimensions of the latent space and some more while it is sought.
 FEATURE_BITS, RANK, MORE, POWERS = 18, 192, 16, 2
-#: Documents whose passages the latent space is fitted on, at most about.
-FITTED = 2_000
+#: How much more than all documents the items weigh in the fit, so that the latent space keeps them apart.
+ITEMS_WEIGH = 10
 #: Items whose vectors are sent to tasks at once; more are handled in further passes over the documents.
 ITEMS_AT_ONCE = 5_000
 #: Least cosine of a candidate, least share of the item's words in order, least share of its answer words.
@@ -37,8 +39,13 @@ COSINE, IN_ORDER, ANSWER = 0.4, 0.5, 0.5
 ANSWER_PART = 1 / 3
 #: Bytes of text whose words are multiplied at once.
 STEP = 256 << 10
-#: Features whose sums travel together.
-FEATURE_BLOCK = 1024
+#: Features whose sums travel together, and rows of products that do.
+FEATURE_BLOCK, PRODUCT_ROWS = 1024, 32
+#: Document frequencies that travel together; the key of the number of documents among them.
+FREQUENCIES, ALL = 1 << 14, 1 << FEATURE_BITS
+#: Pairs of features that are counted at once, and different ones that a task holds before it hands them on.
+PAIRS, HELD = 2_000_000, 2_000_000
+COUNTED = "part int, block int, held binary"
 
 
 def cut(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,14 +68,27 @@ def features_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield low, high, words, at
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The different keys from 0 on, sorted in place; much faster than by a hash table."""
+    keys.sort()
+    return keys[np.diff(keys, prepend=-1) != 0]
+
+
 def block_features(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word of every block, distinct features by block, and where each block begins in these."""
     heads, _, _ = cut(at)
     block = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(words))))
-    own = np.unique(block << FEATURE_BITS | (words >> np.uint64(64 - FEATURE_BITS)).astype(np.int64))
+    own = distinct(block << FEATURE_BITS | (words >> np.uint64(64 - FEATURE_BITS)).astype(np.int64))
     return heads, own & (1 << FEATURE_BITS) - 1, np.searchsorted(own, np.arange(len(heads)) << FEATURE_BITS)
 
 
+def of_items(column: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Columns below ``size``, how many of them each block has, and where they begin."""
+    inside = column < size
+    kept = np.add.reduceat(inside, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    return column[inside], kept, np.concatenate(([0], np.cumsum(kept)))
+
+
 class Space:
     """Which column a feature has (the last for all that no item has), weights, and the basis by column."""
 
@@ -90,82 +110,160 @@ class Space:
         if not len(heads):
             return np.zeros((0, self.basis.shape[1]), np.float32), heads, heads
         _, feature, first = block_features(words, at)
-        sums = np.add.reduceat(self.basis[self.column[feature]], first, axis=0)
+        column, kept, at_block = of_items(self.column[feature], first, len(self.features))
+        sums = np.zeros((len(heads), self.basis.shape[1]), np.float32)
+        some = np.flatnonzero(kept)
+        if len(some):
+            sums[some] = np.add.reduceat(self.basis[column], at_block[some], axis=0)
         made = sums[begin] + np.where((end > begin)[:, None], sums[end], 0)
         return made, heads[begin], np.append(heads[1:], len(words))[end]
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many documents each feature stands, and the number of documents."""
+def pairs_of(column: np.ndarray, start: np.ndarray, stop: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Keys i * size + j of the products of passages, whose entries stand from start to stop, for i up to j.
+
+    An entry that stands in both blocks of a passage counts as two, so its square is four.
+    """
+    number = stop - start
+    ends = np.cumsum(number * (number + 1) // 2)
+    cuts = np.searchsorted(ends, np.arange(0, max(1, ends[-1]), PAIRS))
+    for low, high in zip(cuts, [*cuts[1:], len(number)], strict=True):
+        n = number[low:high]
+        here = np.repeat(start[low:high] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        after = np.repeat(stop[low:high], n) - here - 1
+        left = np.repeat(here, after)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+        x, y = column[left], column[right]
+        keys = np.minimum(x, y) * np.int64(size) + np.maximum(x, y)
+        yield np.concatenate((keys, keys[x == y], column[here] * np.int64(size + 1)))
+
+
+def packed(key: np.ndarray, n: np.ndarray) -> bytes:
+    return zlib.compress(np.diff(key, prepend=0).astype(np.int32).tobytes() + n.astype(np.int64).tobytes(), 1)
+
+
+def unpacked(held: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(held)
+    return np.cumsum(np.frombuffer(raw, np.int32, len(raw) // 12), dtype=np.int64), np.frombuffer(raw, np.int64, offset=len(raw) // 3)
+
+
+def counts_of(texts: DataFrame, own: list[np.ndarray]) -> DataFrame:
+    """What the fit needs, in whole numbers, by part and block: stored rows COUNTED.
+
+    Part -1: in how many texts each feature stands and, under ALL, the number of texts. Part p: the sums over all passages
+    of the products of the entries of two of the features own[p], for columns i up to j.
+    """
+    spans = {-1: FREQUENCIES, **{p: PRODUCT_ROWS * len(features) for p, features in enumerate(own)}}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        fresh: dict[int, list[np.ndarray]] = {part: [] for part in spans}
+        columns = [Space(features, np.zeros(1 << FEATURE_BITS)).column for features in own]
+
+        def add(part: int, keys: np.ndarray) -> None:
+            if len(keys):
+                fresh[part].append(keys)
+            if sum(map(len, fresh[part])) >= PAIRS:
+                unite(part)
+
+        def unite(part: int) -> None:
+            key, n = np.unique(np.concatenate(fresh[part]), return_counts=True)
+            fresh[part] = []
+            if part in held:
+                known, sums = held[part]
+                at = np.searchsorted(known, key)
+                old = known[np.minimum(at, len(known) - 1)] == key
+                sums[at[old]] += n[old]
+                key, n = np.insert(known, at[~old], key[~old]), np.insert(sums, at[~old], n[~old])
+            held[part] = key, n
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for part in [part for part, keys in fresh.items() if keys]:
+                unite(part)
+            for part, (key, n) in held.items():
+                block = key // spans[part]
+                at = np.flatnonzero(np.diff(block, prepend=-1))
+                made = [packed(key[a:b] - block[a] * spans[part], n[a:b]) for a, b in zip(at, [*at[1:], len(key)], strict=True)]
+                arrays = [pa.array(np.full(len(at), part), pa.int32()), pa.array(block[at], pa.int32()), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "block", "held"])
+            held.clear()
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(1 << FEATURE_BITS, np.int64), 0
         for batch in batches:
-            rows += batch.num_rows
+            if batch.num_rows:
+                add(-1, np.full(batch.num_rows, ALL))
             for low, high, words, at in features_of(batch.column("text")):
-                doc = np.repeat(np.arange(high - low), np.diff(at))
-                own = np.unique(doc << FEATURE_BITS | (words >> np.uint64(64 - FEATURE_BITS)).astype(np.int64))
-                total += np.bincount(own & (1 << FEATURE_BITS) - 1, minlength=len(total))
-        feature = np.append(np.flatnonzero(total), -1)
-        yield pa.RecordBatch.from_arrays([pa.array(feature), pa.array(np.append(total[feature[:-1]], rows))], ["feature", "n"])
-
-    summed = docs.select("text").mapInArrow(counted, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
-    feature, n = summed["feature"].to_numpy(), summed["n"].to_numpy()
-    frequencies = np.zeros(1 << FEATURE_BITS, np.int64)
-    frequencies[feature[feature >= 0]] = n[feature >= 0]
-    return frequencies, int(n[feature < 0].sum())
+                heads, begin, end = cut(at)
+                if not len(heads):
+                    continue
+                _, feature, first = block_features(words, at)
+                entries = np.diff(np.append(first, len(feature)))
+                doc = np.repeat(np.searchsorted(at, heads, side="right") - 1, entries)
+                add(-1, distinct(doc << FEATURE_BITS | feature) & (1 << FEATURE_BITS) - 1)
+                for part, column in enumerate(columns):
+                    inside, _, at_block = of_items(column[feature], first, len(own[part]))
+                    for keys in pairs_of(inside, at_block[begin], at_block[end + 1], len(own[part])):
+                        add(part, keys)
+                if sum(len(key) for key, _ in held.values()) > HELD:
+                    yield from out()
+        yield from out()
+
+    def summed(table: pa.Table) -> pa.Table:
+        total = np.zeros(spans[table["part"][0].as_py()], np.int64)
+        for held in table["held"]:
+            key, n = unpacked(held.as_py())
+            total[key] += n
+        key = np.flatnonzero(total)
+        return pa.table({"part": table["part"][:1], "block": table["block"][:1], "held": pa.array([packed(key, total[key])], pa.binary())})
+
+    return settle(texts.select("text").mapInArrow(run, COUNTED).groupBy("part", "block").applyInArrow(summed, COUNTED), "products")
+
+
+def document_frequencies(counts: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many documents each feature stands, and the number of documents."""
+    frequencies = np.zeros((1 << FEATURE_BITS) + FREQUENCIES, np.int64)
+    for row in counts.filter("part = -1").toLocalIterator():
+        key, n = unpacked(row.held)
+        frequencies[row.block * FREQUENCIES + key] = n
+    return frequencies[: 1 << FEATURE_BITS], int(frequencies[ALL])
 
 
-def latent_space(texts: DataFrame, space: Space, rank: int = RANK) -> Space:
-    """The space with the right singular vectors of the TF-IDF passages of texts (columns text, weight) as basis."""
+def latent_space(products: DataFrame, space: Space, rank: int = RANK) -> Space:
+    """The space with the right singular vectors of the TF-IDF passages as basis. products: block, held and weight."""
     size = len(space.features)
     wide = min(rank + MORE, size)
+    idf = space.idf[space.features]
 
-    def products(now: Space, gram: bool):
-        """Sums over passages of row^T (row basis), by blocks of features, or of (row basis)^T (row basis)."""
+    def multiplied(basis: np.ndarray) -> np.ndarray:
+        """The products of all rows, times the basis."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((wide if gram else size + 1, wide), np.float32)
+            total = np.zeros((size, wide))
             for batch in batches:
-                scale = batch.column("weight").to_numpy().astype(np.float32)
-                for low, high, words, at in features_of(batch.column("text")):
-                    heads, begin, end = cut(at)
-                    made, start, _ = now.passages(words, at)
-                    made = made * scale[low:high][np.searchsorted(at, start, side="right") - 1][:, None]
-                    if gram:
-                        total += made.T @ made
-                        continue
-                    made = made * scale[low:high][np.searchsorted(at, start, side="right") - 1][:, None]
-                    per_block = np.zeros((len(heads), wide), np.float32)
-                    per_block[begin] += made
-                    per_block[end[end > begin]] += made[end > begin]
-                    _, feature, first = block_features(words, at)
-                    block = np.repeat(np.arange(len(heads)), np.diff(np.append(first, len(feature))))
-                    column = now.column[feature]
-                    order = np.argsort(column, kind="stable")
-                    order = order[column[order] < size]
-                    runs = np.flatnonzero(np.diff(column[order], prepend=-1))
-                    if len(runs):
-                        total[column[order][runs]] += np.add.reduceat(per_block[block[order]], runs, axis=0)
-            rows = [total] if gram else np.split(total[:-1] * now.idf[now.features][:, None], range(FEATURE_BLOCK, size, FEATURE_BLOCK))
-            for k, x in enumerate(rows):
+                for block, held, weight in zip(*(batch.column(c).to_pylist() for c in ("block", "held", "weight")), strict=True):
+                    key, n = unpacked(held)
+                    low = block * PRODUCT_ROWS
+                    rows = min(PRODUCT_ROWS, size - low)
+                    dense = np.zeros(rows * size, np.float32)
+                    dense[key] = n * weight
+                    dense = dense.reshape(rows, size) * idf[low : low + rows, None] * idf
+                    total[low : low + rows] += dense @ basis
+                    # The other triangle; squares stand in the first one.
+                    dense[np.arange(rows), low + np.arange(rows)] = 0
+                    total += dense.T @ basis[low : low + rows]
+            for k, x in enumerate(np.split(total, range(FEATURE_BLOCK, size, FEATURE_BLOCK))):
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([x.tobytes()])], ["block", "sums"])
 
-        return run
+        found = products.mapInArrow(run, "block long, sums binary").groupBy("block").applyInArrow(add, "block long, sums binary")
+        return np.frombuffer(b"".join(found.toArrow().sort_by("block")["sums"].to_pylist())).reshape(-1, wide)
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table["sums"].to_pylist())
-        return pa.table({"block": table["block"][:1], "sums": pa.array([total.astype(np.float32).tobytes()])})
-
-    def multiplied(basis: np.ndarray, gram: bool = False) -> np.ndarray:
-        rows = texts.mapInArrow(products(space.with_basis(basis), gram), "block long, sums binary")
-        found = rows.groupBy("block").applyInArrow(add, "block long, sums binary").toArrow().sort_by("block")
-        return np.frombuffer(b"".join(found["sums"].to_pylist()), np.float32).reshape(-1, wide)
+        total = sum(np.frombuffer(x) for x in table["sums"].to_pylist())
+        return pa.table({"block": table["block"][:1], "sums": pa.array([total.tobytes()])})
 
     basis = np.random.default_rng(5).standard_normal((size, wide)).astype(np.float32)
     for _ in range(POWERS):
-        basis = np.linalg.qr(multiplied(basis))[0]
-    values, vectors = np.linalg.eigh(multiplied(basis, gram=True).astype(np.float64))
+        basis = np.linalg.qr(multiplied(basis))[0].astype(np.float32)
+    values, vectors = np.linalg.eigh(basis.T @ multiplied(basis))
     return space.with_basis((basis @ vectors[:, np.argsort(values)[::-1][:rank]]).astype(np.float32))
 
 
@@ -191,28 +289,33 @@ def leaks(
     white space. Null, empty and wordless texts and items match nothing. id is doc_id, or an id above 2**62 made from
     the text; rows with the same id are one document. Repeated items count once each item_id; a null item_id stays null.
     """
-    frequencies, n_docs = document_frequencies(docs)
-    idf = np.log((1 + n_docs) / (1 + frequencies)) + 0.1
     known = benchmark.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("item_id", "text").distinct()
     known = settle(known, "benchmark_items")
     n_items = known.count()
     schema = "id long, item_id long, cosine double, in_order double, answer double"
     if not n_items:
         return docs.sparkSession.createDataFrame([], schema)
-    # Items weigh as much as the sample together, so that the latent space keeps them apart.
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("svd")), F.lit(1_000_000)) / F.lit(1e6) < min(1.0, FITTED / max(n_docs, 1))
-    weight = float(np.sqrt(max(1.0, FITTED * 10 / n_items)))
-    sample = docs.filter(drawn).select("text", F.lit(1.0).alias("weight"))
-    fitted = settle(known.select("text", F.lit(weight).alias("weight")).unionByName(sample), "svd_texts")
     parts = -(-n_items // ITEMS_AT_ONCE)
     bounds = known.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).cast("int"))
+
+    def items_of(part: int) -> pa.Table:
+        return bounds.filter(F.col("part") == part).select("item_id", "text").toArrow()
+
+    own = []
+    for part in range(parts):
+        held = [np.unique(words >> np.uint64(64 - FEATURE_BITS)).astype(np.int64) for _, _, words, _ in features_of(items_of(part)["text"])]
+        own.append(np.unique(np.concatenate([np.zeros(0, np.int64), *held])))
+    counts = counts_of(docs, own)
+    frequencies, n_docs = document_frequencies(counts)
+    idf = np.log((1 + n_docs) / (1 + frequencies)) + 0.1
+    weight = max(1.0, ITEMS_WEIGH * n_docs / n_items)
+    products = counts.withColumn("weight", F.lit(1.0)).unionByName(counts_of(known, own).withColumn("weight", F.lit(weight)))
     rows, found = docs.select(key_of(docs).alias("id"), "text"), None
     for part in range(parts):
-        items = bounds.filter(F.col("part") == part).select("item_id", "text").toArrow()
-        own = [np.unique(words >> np.uint64(64 - FEATURE_BITS)).astype(np.int64) for _, _, words, _ in features_of(items["text"])]
-        if not own:
+        if not len(own[part]):
             continue
-        space = latent_space(fitted, Space(np.unique(np.concatenate(own)), idf))
+        items = items_of(part)
+        space = latent_space(products.filter(F.col("part") == part), Space(own[part], idf))
         sent = docs.sparkSession.sparkContext.broadcast((space.features, space.idf, space.basis))
         hits = rows.mapInArrow(searcher(sent, items, frequencies, (cosine, share, answer)), schema)
         found = hits if found is None else found.unionByName(hits)

@@ -498,6 +498,36 @@ def test_latent_retrieval_recall_and_checks(spark, odd):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 1
 
 
+def test_latent_space_is_fitted_on_every_document(spark, monkeypatch):
+    """The products of all passages, more documents than a sample of some thousand, equal plain sums."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, rng.integers(0, 90)) if x < 60) for _ in range(3_000)]
+    docs = spark.createDataFrame([*enumerate([*texts, None])], "doc_id long, text string").repartition(3)
+    L = latent_decontamination
+    (words,) = [w for _, _, w, _ in L.features_of(L.pa.array([" ".join(f"w{i}" for i in range(1, 40))]))]
+    own = np.unique(words >> np.uint64(64 - L.FEATURE_BITS)).astype(np.int64)
+    plain, frequencies = np.zeros((len(own), len(own)), np.int64), Counter()
+    for _, _, words, at in L.features_of(L.pa.array(texts)):
+        feature = (words >> np.uint64(64 - L.FEATURE_BITS)).astype(np.int64)
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            frequencies.update(set(feature[a:b].tolist()))
+            blocks = [np.isin(own, feature[x : min(b, x + L.BLOCK)]).astype(np.int64) for x in range(a, b, L.BLOCK)]
+            for row in [x + y for x, y in zip(blocks, blocks[1:])] or blocks:
+                plain += np.outer(row, row)
+    for held in (L.HELD, 50):
+        monkeypatch.setattr(L, "HELD", held)
+        counts = L.counts_of(docs, [own])
+        found = np.zeros((len(own) // L.PRODUCT_ROWS + 1) * L.PRODUCT_ROWS * len(own), np.int64)
+        for r in counts.filter("part = 0").collect():
+            key, n = L.unpacked(r.held)
+            found[r.block * L.PRODUCT_ROWS * len(own) + key] = n
+        assert np.array_equal(found.reshape(-1, len(own))[: len(own)], np.triu(plain))
+        told, n_docs = L.document_frequencies(counts)
+        assert n_docs == 3_001 and {f: told[f] for f in np.flatnonzero(told)} == frequencies
+    foreign = L.counts_of(spark.createDataFrame([(1, "zzz " * 40)], "doc_id long, text string"), [own])
+    assert L.document_frequencies(foreign)[1] == 1 and foreign.filter("part = 0").isEmpty()
+
+
 def test_bit_parallel_subsequence():
     def slow(a, b):
         row = [0] * (len(b) + 1)
