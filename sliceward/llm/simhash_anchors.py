@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sliceward.llm.chunks import key_of, text_digest
-from sliceward.sources.stored import settle
+from sliceward.sources.stored import Interim, settle
 
 #: Bits in which linked fingerprints may differ.
 THRESHOLD = 4
@@ -190,7 +190,8 @@ def components(pairs: DataFrame) -> DataFrame:
     Alternating stars: each node hands its larger neighbours to its smallest neighbour, then each its smaller ones.
     Every round reduces with partial minima and is stored; rounds grow with the logarithm of the component's size.
     """
-    edges = settle(pairs.select("a", "b").filter("a <> b"), "edges")
+    interim = Interim(pairs.sparkSession)
+    edges = interim.settle(pairs.select("a", "b").filter("a <> b"), "edges")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -199,7 +200,7 @@ def components(pairs: DataFrame) -> DataFrame:
         down = large.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        edges = settle(small.filter("a <> b").distinct(), "edges")
+        edges = interim.settle(small.filter("a <> b").distinct(), "edges")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

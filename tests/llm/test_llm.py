@@ -662,6 +662,31 @@ def test_near_copies_stage_equals_brute_force(spark):
     assert sorted(r.doc_id for r in found.collect()) == sorted({*part})
 
 
+def test_near_copies_compare_few_pairs_and_drop_what_they_stored(spark, monkeypatch):
+    """A text at many keys meets the same few others at all of them, none of a size that rules a link out."""
+    from sliceward.llm import minhash_copies
+    from sliceward.sources.stored import scratch_database
+
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(w if rng.random() > 0.03 else f"x{rng.integers(10**6)}" for w in base) for _ in range(600)]
+    texts += [" ".join(base[:n]) for n in range(100, 220)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    size, asked, similar = {}, [], minhash_copies.similar
+
+    def seen(pairs, held, least):
+        asked.extend((r.a, r.b) for r in pairs.collect())
+        size.update((r.cls, len(r.held)) for r in held.collect())
+        return similar(pairs, held, least)
+
+    monkeypatch.setattr(minhash_copies, "similar", seen)
+    before = {r.tableName for r in spark.sql(f"SHOW TABLES IN {scratch_database(spark)}").collect()}
+    kept = minhash_copies.keep_one(docs).count()
+    after = {r.tableName.rpartition("_")[0] for r in spark.sql(f"SHOW TABLES IN {scratch_database(spark)}").collect() if r.tableName not in before}
+    assert after <= {"kept", "roots", "edges"} and 0 < kept < len(texts)
+    assert len(asked) == len(set(asked)) and all(min(size[a], size[b]) >= 0.8 * max(size[a], size[b]) for a, b in asked)
+
+
 def test_kneser_ney_needs_no_limit_of_ngrams(spark, small_chunks, monkeypatch):
     """More triples than were once broadcast, one very long trusted text, many chunks and shards, a crowded filter."""
     docs = sf(spark).unionByName(spark.createDataFrame([(10**6, LONG, "en", "a", 1)], sf(spark).schema))
