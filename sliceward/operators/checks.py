@@ -22,6 +22,7 @@ from sliceward.schema import (
     UNIT_KEY,
     Layer,
 )
+from sliceward.sources.stored import settle
 
 
 def _count_if(condition: Column) -> Column:
@@ -122,6 +123,8 @@ def _orphans(rows: DataFrame, parents: DataFrame, key: list[str], parent_key: li
 
 def ledger_violations(ledger: DataFrame, config: DataFrame, runs: DataFrame, layer: Layer = ARCHIVE) -> DataFrame:
     """Every broken constraint of ledger, config and runs as (constraint_name, key_text, n)."""
+    # Runs are often a fold over their events; it is done once for all rules.
+    runs = settle(runs.select("run_id", *SOURCE, "run_type", "run_status", "execute_flag"), "runs")
     whole = F.col("unit_type") == PARTITION
 
     def marks(column: str) -> Column:

@@ -276,3 +276,10 @@ def test_a_table_that_would_lose_partitions_is_refused(spark):
         op.load_units(rows, units, other, "order_date")
 
 
+def test_runs_are_folded_in_all_shuffle_partitions(spark):
+    """Few events are no reason to fold all runs in one task: the number of tasks does not hang on their bytes."""
+    columns = "run_id long, run_type string, run_status string, source_link string, source_owner string, source_table string, mstr_log_id long, "
+    columns += "started_at timestamp_ntz, ended_at timestamp_ntz, execute_flag string, error_message string, event_ts timestamp_ntz, seq int"
+    rows = [(i, "archive", "RUNNING", "a", "b", "c", i, None, None, "Y", None, None, 0) for i in range(50)]
+    runs = op.current_runs(spark.createDataFrame(rows, columns))
+    assert runs.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and runs.count() == 50
