@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -687,6 +688,34 @@ def test_near_copies_compare_few_pairs_and_drop_what_they_stored(spark, monkeypa
     assert len(asked) == len(set(asked)) and all(min(size[a], size[b]) >= 0.8 * max(size[a], size[b]) for a, b in asked)
 
 
+def test_near_copies_of_a_cloud_meet_by_common_differences(spark, monkeypatch):
+    """Texts of one base, changed in different places and mostly unlinked: few of all pairs are compared, no link is lost."""
+    from sliceward.llm import minhash_copies
+
+    rng = np.random.default_rng(21)
+    base = [f"w{i}" for i in range(160)]
+    texts = [" ".join(w if rng.random() > rate else f"x{rng.integers(10**6)}" for w in base) for rate in (0.01, 0.03, 0.05) for _ in range(200)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    sets = [{tuple(words[i : i + 5]) for i in range(len(words) - 4)} for words in map(str.split, texts)]
+    part = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) and part[i] != part[j]:
+            part = [part[i] if p == part[j] else p for p in part]
+    asked, similar = [], minhash_copies.similar
+
+    def seen(pairs, held, least):
+        asked.extend((r.a, r.b) for r in pairs.collect())
+        return similar(pairs, held, least)
+
+    monkeypatch.setattr(minhash_copies, "similar", seen)
+    kept = [r.doc_id for r in minhash_copies.keep_one(docs).collect()]
+    first = {p: part.index(p) for p in part}
+    assert sorted(kept) == sorted(first.values()) and 200 < len(kept) < 500
+    assert len(asked) == len(set(asked))
+    assert len(asked) < 0.15 * len(texts) ** 2 / 2
+
+
 def test_kneser_ney_needs_no_limit_of_ngrams(spark, small_chunks, monkeypatch):
     """More triples than were once broadcast, one very long trusted text, many chunks and shards, a crowded filter."""
     docs = sf(spark).unionByName(spark.createDataFrame([(10**6, LONG, "en", "a", 1)], sf(spark).schema))
