@@ -688,6 +688,29 @@ def test_near_copies_compare_few_pairs_and_drop_what_they_stored(spark, monkeypa
     assert len(asked) == len(set(asked)) and all(min(size[a], size[b]) >= 0.8 * max(size[a], size[b]) for a, b in asked)
 
 
+def test_common_words_are_added_up_for_many_queries_at_once():
+    """Their sums come from one product and are those of plain addition; a query that brings them along reads rare words alone."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(1, 60)) if x < 500) for _ in range(333)]
+    terms = blockmax_topk.Terms(blockmax_topk.pa.table({"__text": texts}), 3)
+    index = blockmax_topk.Index(terms, 20.0)
+    weight = np.log1p(len(texts) / np.bincount(terms.term))
+    asked = [terms.term[terms.doc == q] for q in (0, 5, 77, 200)]
+    sums = index.common([(own, weight[own]) for own in asked])
+    norm = blockmax_topk.K1 * (1 - blockmax_topk.B + blockmax_topk.B * terms.lengths / 20.0)
+    impact = terms.tf * (blockmax_topk.K1 + 1) / (terms.tf + norm[terms.doc])
+    assert 0 < (~index.rare).sum() < 60
+    for own, row in zip(asked, sums, strict=True):
+        mine = np.isin(terms.term, own) & ~index.rare[terms.term]
+        plain = np.bincount(terms.doc[mine], weights=(weight[terms.term] * impact)[mine], minlength=len(texts))
+        np.testing.assert_allclose(row[: len(texts)], plain[index.docs], rtol=1e-12)
+        assert not row[len(texts) :].any()
+        entries = blockmax_topk.Cursors(index, own, weight[own]).entries
+        assert index.rare[np.searchsorted(index.of_term, entries, side="right") - 1].all()
+        for found, want in zip(blockmax_topk.best(index, own, weight[own], 10, 0.0, row), blockmax_topk.best(index, own, weight[own], 10, 0.0), strict=True):
+            np.testing.assert_allclose(found, want)
+
+
 def test_near_copies_of_a_cloud_meet_by_common_differences(spark, monkeypatch):
     """Texts of one base, changed in different places and mostly unlinked: few of all pairs are compared, no link is lost."""
     from sliceward.llm import minhash_copies
