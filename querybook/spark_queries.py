@@ -512,18 +512,25 @@ def cleanup_units(spark, sf_dir):
     """Three loads of every source; early units are truncated, deleted or dropped. Rows and partitions left."""
     cats = roles.catalogs(spark, sf_dir)
 
-    def cleaned(one):
-        source, mode = one
-        name, units, _ = _loaded(spark, sf_dir, source, units=cats[source])
-        op.cleanup_units(name, units.filter(f"high <= DATE'{EARLY[source]}'"), mode, execute=True)
-        kept = spark.sql(f"SHOW PARTITIONS {name}").agg(F.count(F.lit(1)).alias("partitions_kept"))
-        counts = op.stored_row_counts(spark.table(name), units)
-        return counts.select("source_table", F.lit(mode).alias("cleanup_mode"), *HIGH_VALUES, "n").join(
-            kept.withColumn("cleanup_mode", F.lit(mode)), "cleanup_mode"
-        )
+    def cleaned(source):
+        first, units, _ = _loaded(spark, sf_dir, source, units=cats[source])
+        # The other two are loaded from the first, which is laid out by unit, so the source is shuffled once.
+        tables = {"TRUNCATE": first}
+        for mode in ("DELETE", "DROP"):
+            tables[mode], _, _ = _loaded(spark, sf_dir, source, rows=spark.table(first), units=units)
+        left = []
+        for mode, name in tables.items():
+            op.cleanup_units(name, units.filter(f"high <= DATE'{EARLY[source]}'"), mode, execute=True)
+            kept = spark.sql(f"SHOW PARTITIONS {name}").agg(F.count(F.lit(1)).alias("partitions_kept"))
+            counts = op.stored_row_counts(spark.table(name), units)
+            left.append(
+                counts.select("source_table", F.lit(mode).alias("cleanup_mode"), *HIGH_VALUES, "n").join(
+                    kept.withColumn("cleanup_mode", F.lit(mode)), "cleanup_mode"
+                )
+            )
+        return roles.union(left)
 
-    every = [(source, mode) for source in SOURCES for mode in ("TRUNCATE", "DELETE", "DROP")]
-    return roles.union(for_each_table(spark, cleaned, every))
+    return roles.union(for_each_table(spark, cleaned, SOURCES))
 
 
 ROW_KEYS = {"ORDERS": ["o_orderkey"], "LINEITEM": ["l_orderkey", "l_linenumber"], "EVENTS": ["event_id"]}

@@ -151,3 +151,19 @@ def test_counting_some_units_lists_only_their_range(spark):
     assert "partition_hv#" in text and ">= 2024-03-01" in text and "<= 2024-05-01" in text
     assert op.stored_row_counts(spark.table(name), some.filter("false")).count() == 0
     assert op.unit_row_counts(spark.table(name), some, "order_date").groupBy().sum("n").first()[0] == 106
+
+
+def test_three_cleanups_shuffle_each_source_once(spark, monkeypatch):
+    """The second and third load of a source come from the first, which is laid out by unit."""
+    from querybook import spark_queries
+    from sliceward.operators.assign import laid_out_by_unit
+
+    told, load = [], spark_queries.op.load_units
+
+    def seen(source, *rest):
+        told.append(laid_out_by_unit(source))
+        return load(source, *rest)
+
+    monkeypatch.setattr(spark_queries.op, "load_units", seen)
+    rows = spark_queries.QUERIES["cleanup_units"](spark, "/root/testdata/sf0.001").select("cleanup_mode").distinct().count()
+    assert rows == 3 and sorted(told) == [False] * 3 + [True] * 6
