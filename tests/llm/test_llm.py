@@ -369,6 +369,36 @@ def test_kneser_ney_learns_from_every_trusted_row(spark):
     assert found == pytest.approx({r.doc_id: r.perplexity for r in whole.collect()}, rel=1e-6)
 
 
+def test_kneser_ney_takes_its_interim_tables_away(spark):
+    """Neither texts by chunk nor the model's counts or the shuffles they came from stay on disk."""
+    kneser_ney_quality.judge(sf(spark), sf(spark, "labels")).count()  # makes the database
+    before = {t.name for t in spark.catalog.listTables("sliceward_scratch")}
+    assert kneser_ney_quality.judge(sf(spark), sf(spark, "labels")).count() == sf(spark).count()
+    left = {t.name.partition("_")[0] for t in spark.catalog.listTables("sliceward_scratch") if t.name not in before}
+    assert left <= {"perplexities", "bounded"}
+
+
+def test_kneser_ney_does_not_depend_on_chunks(spark):
+    """Many chunks and shards; rows without id, text or words, repeated rows, and a word that stands everywhere."""
+    rows = [(i, f"the w{i % 7} the w{i % 11} the own{i} the", "en", True, i % 3 == 0) for i in range(300)]
+    rows += [(None, "the w1", None, True, False), (5, None, "en", True, True), (6, " ", "en", True, False), (6, " ", "en", True, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, asked boolean, trusted boolean").repartition(2)
+    found = [Counter(map(tuple, kneser_ney_quality.weighed(docs, size).collect())) for size in (1 << 20, 1_000)]
+    assert found[0] == found[1] and sum(found[0].values()) == len(rows)
+
+
+def test_packed_numbers_and_keys():
+    from sliceward.llm import packed
+
+    rng = np.random.default_rng(2)
+    keys = np.sort(rng.integers(0, 1 << 64, 5_000, dtype=np.uint64))
+    assert (packed.from_gaps(packed.gaps(keys)) == keys).all()
+    columns = [rng.geometric(0.4, 5_000) - 1, np.zeros(5_000, np.int64), np.where(rng.random(5_000) < 0.01, 1 << 40, 1)]
+    for n in (5_000, 1, 0):
+        made = packed.whole_numbers(packed.small([c[:n] for c in columns]))
+        assert len(made) == 3 and all((a == b[:n]).all() for a, b in zip(made, columns, strict=True))
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity_pu.classify(docs, labels).join(labels, "doc_id").filter("held_out").collect()
