@@ -795,3 +795,37 @@ def test_a_word_and_a_bigram_with_like_hashes_are_told_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     found = {r.doc_id: (r.train_tokens, r.n_known) for r in deleted_interpolation.score_texts(docs).collect()}
     assert found == {learned: (3, 3), held: (3, 1)}
+
+
+def test_near_copies_without_a_common_minhash_key_are_found(spark):
+    """Pairs at 0.8 that share none of the 20 MinHash keys; one in some 40,000 does."""
+    from sliceward.llm import minhash_copies
+
+    pairs = [27442, 57850, 197440]
+    texts = [" ".join(f"p{i}w{j}" for j in range(words)) for i in pairs for words in (9, 8, 7)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(2)
+    keys = {r.id: {*r["keys"]} for r in minhash_copies.sketches(docs).collect()}
+    assert not any(keys[3 * p] & keys[3 * p + 1] for p in range(3))
+    assert sorted(r.doc_id for r in minhash_copies.keep_one(docs).collect()) == [0, 2, 3, 5, 6, 8]
+
+
+def test_linked_texts_share_one_of_their_rarest_shingles():
+    """Whatever else holds the shingles; texts that others cannot be linked to have no such key."""
+    from sliceward.llm import minhash_copies
+
+    rng, sets = np.random.default_rng(17), []
+    for _ in range(150):
+        base = rng.choice(4000, rng.integers(1, 60), replace=False)
+        for _ in range(3):
+            kept = base[rng.random(len(base)) > 0.1 * rng.random()]
+            sets.append(np.unique(np.concatenate((kept, rng.choice(4000, rng.integers(0, 6)), base[:1]))).astype(np.uint64))
+    sets += [np.arange(9000, 9040, dtype=np.uint64), np.arange(9036, 9080, dtype=np.uint64)]
+    at, made = np.cumsum([0] + [len(x) for x in sets]), np.concatenate(sets)
+    keys = [{*k.tolist()} for k in minhash_copies.rarest(made, at, np.bincount(made.astype(np.int64))[made.astype(np.int64)], 0.8)]
+    links = 0
+    for i, j in combinations(range(len(sets)), 2):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+            links += 1
+            assert keys[i] & keys[j]
+    assert links > 100 and not keys[-1] and not keys[-2]
