@@ -829,3 +829,28 @@ def test_linked_texts_share_one_of_their_rarest_shingles():
             links += 1
             assert keys[i] & keys[j]
     assert links > 100 and not keys[-1] and not keys[-2]
+
+
+def test_queries_searched_together_find_what_each_finds_alone(monkeypatch):
+    """With and without thresholds, whichever way postings are read; a query without words in the shard finds nothing."""
+    rng = np.random.default_rng(14)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(1, 60)) if x < 500) for _ in range(900)]
+    texts[50:90] = [texts[49]] * 40
+    terms = blockmax_topk.Terms(blockmax_topk.pa.table({"__text": texts}), 7)
+    held = np.bincount(terms.term)
+    weight = np.log1p((len(texts) - held + 0.5) / (held + 0.5))
+    norm = blockmax_topk.K1 * (1 - blockmax_topk.B + blockmax_topk.B * terms.lengths / 20.0)
+    plain = np.zeros((len(texts), len(held)))
+    plain[terms.doc, terms.term] = terms.tf * (blockmax_topk.K1 + 1) / (terms.tf + norm[terms.doc])
+    own = [terms.term[terms.doc == q] for q in (0, 49, 60, 300, 899)] + [np.zeros(0, np.int64)]
+    scores = [np.round(plain[:, x] @ weight[x], 9) for x in own]
+    kth = np.array([np.sort(x)[-10] for x in scores])
+    for rare in (0.02, 0.1, 1.0):
+        monkeypatch.setattr(blockmax_topk, "RARE", rare)
+        index = blockmax_topk.Index(terms, 20.0)
+        for least in (np.zeros(6), kth / 2, kth * (1 - 1e-9), kth * [1 - 1e-9, 0, 1, 0, 0.5, 0]):
+            query, place, got = blockmax_topk.best_of_all(index, blockmax_topk.Asked.of([(x, weight[x]) for x in own]), 10, least)
+            for q, score in enumerate(scores):
+                doc = index.docs[place[query == q]]
+                assert len(doc) == len({*doc.tolist()}) and np.array_equal(np.round(got[query == q], 9), score[doc])
+                assert {*np.flatnonzero((score >= kth[q]) & (score > 0)).tolist()} <= {*doc.tolist()}
